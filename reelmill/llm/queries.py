@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reelmill.llm.exact_dedup import exact_dedup
+from reelmill.llm.secret_scan import secret_scan
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(_documents(spark, sf_dir))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
