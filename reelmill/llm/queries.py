@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelmill.llm.exact_dedup import exact_dedup
 from reelmill.llm.secret_scan import secret_scan
+from reelmill.llm.substring_dedup import substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_documents(spark, sf_dir))
 
@@ -21,11 +28,28 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op1_substring_dedup": r"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ), runs AS (
+            SELECT doc_id, unnest(range(1, len(words) - 48)) AS pos, words FROM w WHERE len(words) >= 50
+        ), hashed AS (
+            SELECT doc_id, pos, md5(array_to_string(words[pos:pos + 49], ' ')) AS run FROM runs
+        ), firsts AS (
+            SELECT run, min(doc_id) AS first FROM hashed GROUP BY run HAVING min(doc_id) < max(doc_id)
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM hashed JOIN firsts USING (run) WHERE doc_id > first
+        ), lists AS (SELECT doc_id, list(pos) AS gone_at, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed,
+            sha256(coalesce(array_to_string(list_filter(words, lambda x, i: gone_at IS NULL OR NOT list_contains(gone_at, i)), ' '), '')) AS kept_sha256
+        FROM w LEFT JOIN lists USING (doc_id)
+    """,
     "op10_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
