@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmill.llm.exact_dedup import exact_dedup
+from reelmill.llm.near_dedup import near_dedup
 from reelmill.llm.secret_scan import secret_scan
 from reelmill.llm.substring_dedup import substring_dedup
 
@@ -19,6 +20,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(_documents(spark, sf_dir), k=3, percent=85)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_documents(spark, sf_dir))
 
@@ -29,6 +34,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
@@ -50,6 +56,28 @@ ORACLE_SQL = {
             sha256(coalesce(array_to_string(list_filter(words, lambda x, i: gone_at IS NULL OR NOT list_contains(gone_at, i)), ' '), '')) AS kept_sha256
         FROM w LEFT JOIN lists USING (doc_id)
     """,
+    "op7_minhash_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, shingle FROM (
+                SELECT doc_id, unnest(CASE
+                    WHEN len(words) = 0 THEN []
+                    WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                    ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS shingle
+                FROM w)
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * met >= 85 * (x.n + y.n - met)
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM w UNION SELECT doc_id, b FROM reach JOIN links ON a = other
+        ), c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM c LEFT JOIN n USING (doc_id)
+    """,
     "op10_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
