@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelmill.llm.exact_dedup import exact_dedup
 from reelmill.llm.near_dedup import near_dedup
+from reelmill.llm.packing import pack
 from reelmill.llm.secret_scan import secret_scan
 from reelmill.llm.substring_dedup import substring_dedup
 
@@ -20,6 +21,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_documents(spark, sf_dir))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_documents(spark, sf_dir), k=3, percent=85)
 
@@ -34,6 +39,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
