@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmill.llm.exact_dedup import exact_dedup
+from reelmill.llm.line_dedup import line_dedup
+from reelmill.llm.mixing import mix
 from reelmill.llm.near_dedup import near_dedup
 from reelmill.llm.packing import pack
 from reelmill.llm.secret_scan import secret_scan
@@ -21,6 +23,15 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_documents(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
@@ -39,6 +50,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_source_mixing": op3_source_mixing,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
@@ -62,6 +75,19 @@ ORACLE_SQL = {
             sha256(coalesce(array_to_string(list_filter(words, lambda x, i: gone_at IS NULL OR NOT list_contains(gone_at, i)), ' '), '')) AS kept_sha256
         FROM w LEFT JOIN lists USING (doc_id)
     """,
+    "op2_line_dedup": r"""
+        WITH w AS (
+            SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents
+        ), runs AS (
+            SELECT doc_id, pos, least(2, len(lines)) AS n, md5(array_to_string(lines[pos:pos + 1], chr(10))) AS run, least(2, len(lines)) AS size
+            FROM (SELECT doc_id, lines, unnest(range(1, greatest(len(lines), 2))) AS pos FROM w WHERE len(lines) > 0)
+        ), later AS (
+            SELECT doc_id, pos, n FROM (SELECT *, row_number() OVER (PARTITION BY run, size ORDER BY doc_id, pos) AS k FROM runs) WHERE k > 1
+        ), gone AS (SELECT doc_id, list(DISTINCT l) AS ls FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS l FROM later) GROUP BY doc_id)
+        SELECT doc_id, len(lines) AS n_lines, coalesce(len(ls), 0) AS n_removed,
+            sha256(coalesce(array_to_string(list_filter(lines, lambda x, i: ls IS NULL OR NOT list_contains(ls, i)), chr(10)), '')) AS kept_sha256
+        FROM w LEFT JOIN gone USING (doc_id)
+    """,
     "op7_minhash_near_dedup": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
