@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmill.llm.exact_dedup import exact_dedup
+from reelmill.llm.fingerprints import fingerprints
 from reelmill.llm.line_dedup import line_dedup
 from reelmill.llm.mixing import mix
 from reelmill.llm.near_dedup import near_dedup
@@ -36,6 +37,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
 
+def op6_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_documents(spark, sf_dir))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_documents(spark, sf_dir), k=3, percent=85)
 
@@ -53,6 +58,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_source_mixing": op3_source_mixing,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_simhash_fingerprints": op6_simhash_fingerprints,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
