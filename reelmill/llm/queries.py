@@ -11,6 +11,7 @@ from reelmill.llm.line_dedup import line_dedup
 from reelmill.llm.mixing import mix
 from reelmill.llm.near_dedup import near_dedup
 from reelmill.llm.packing import pack
+from reelmill.llm.quality import quality_scores
 from reelmill.llm.secret_scan import secret_scan
 from reelmill.llm.substring_dedup import substring_dedup
 
@@ -37,6 +38,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_documents(spark, sf_dir))
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_source_mixing": op3_source_mixing,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_simhash_fingerprints": op6_simhash_fingerprints,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
