@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reelmill.llm.exact_dedup import exact_dedup
 from reelmill.llm.fingerprints import fingerprints
 from reelmill.llm.line_dedup import line_dedup
+from reelmill.llm.lm_scoring import lm_scores
 from reelmill.llm.mixing import mix
 from reelmill.llm.near_dedup import near_dedup
 from reelmill.llm.packing import pack
@@ -50,6 +51,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_documents(spark, sf_dir), k=3, percent=85)
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_documents(spark, sf_dir))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_documents(spark, sf_dir))
 
@@ -66,6 +71,7 @@ QUERIES = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_simhash_fingerprints": op6_simhash_fingerprints,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
