@@ -23,7 +23,7 @@ _NO_ID = -(1 << 63)
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Every column of docs as _row, its key (_d, _t) and its lines; null and empty texts have none."""
     text = F.col(text_col).cast("string")
-    keyed = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_d"), F.xxhash64(text).alias("_t"), text.alias("_text"))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(id_col).alias("_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_d"), F.xxhash64(text).alias("_t"), text.alias("_text"))
     return keyed.withColumn("_lines", F.when(F.coalesce(F.col("_text"), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split("_text", "\n", -1)))
 
 
@@ -71,8 +71,26 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     apart by their text, and rows that repeat both are judged alike. An empty table gives no rows. Other columns of
     docs are ignored.
     """
+    kept = _kept(docs, id_col, text_col, window, broadcast_rows)
+    return kept.select(F.col("_id").alias(id_col), "n_lines", "n_removed", "kept_text")
+
+
+def _kept(docs: DataFrame, id_col: str, text_col: str, window: int, broadcast_rows: int) -> DataFrame:
     keyed = _keyed(docs, id_col, text_col)
     gone = _deleted(keyed, window, broadcast_rows)
     joined = keyed.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone.hint("shuffle_hash"), ["_d", "_t"], "left")
     kept = F.when(F.col("_gone").isNull(), F.coalesce("_text", F.lit(""))).otherwise(F.array_join(F.expr("filter(_lines, (x, i) -> NOT array_contains(_gone, i))"), "\n"))
-    return joined.select(F.col("_id").alias(id_col), F.size("_lines").cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept_text"))
+    return joined.select("_row", "_id", F.size("_lines").cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept_text"))
+
+
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars", window: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """docs with the lines that stay as texts (and chars_col, if docs has it, brought up to date); a text that lost every line goes.
+
+    Rows that lost nothing are as they were, null and empty texts included.
+    """
+    kept = _kept(docs, id_col, text_col, window, broadcast_rows).where("n_removed < n_lines or n_lines = 0")
+    new = {text_col: F.col("kept_text"), chars_col: F.length("kept_text").cast("long")}
+    of = lambda c: F.col("_row").getField(c)
+    return kept.select(*(F.when(F.col("n_removed") > 0, new[c]).otherwise(of(c)).alias(c) if c in new else of(c).alias(c) for c in docs.columns))

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from reelmill.shared import stored
 
 PERIOD = 10_000
+#: Where no weights are given: a source's size to this power.
+ALPHA = 0.8
 #: Characters in a block, and ids in a chunk of the running sum.
 BLOCK_CHARS, CHUNK_IDS = 65_536, 4096
 #: More sources than that have no whole slot each; the tables of a period are bounded by it.
@@ -82,7 +84,7 @@ def _blocks(rows: DataFrame, block_chars: int) -> DataFrame:
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
-    alpha: float = 0.7,
+    alpha: float = ALPHA,
     repeat: bool = True,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -134,3 +136,17 @@ def mix(
         (turn + F.col("_at")).alias("slot"),
         place.cast("long").alias("place"),
     )
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 1_000_000, **how) -> DataFrame:
+    """The rows of docs in the order of the mixture, in files that follow each other; repeated ones once for each epoch.
+
+    Rows that share an id go where the first of them is placed.
+    """
+    key = lambda df: F.coalesce(df[id_col].cast("long"), F.lit(-(1 << 63)))
+    placed = mix(docs, id_col=id_col, **how)
+    placed = stored(placed.groupBy(key(placed).alias("_d"), "epoch").agg(F.min(F.struct("slot", "place")).alias("_p")), "placed")
+    placed = F.broadcast(placed) if placed.count() <= broadcast_rows else placed.hint("shuffle_hash")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), key(docs).alias("_d"))
+    ordered = rows.join(placed.select("_d", "_p.*"), "_d").repartitionByRange("slot", "place").sortWithinPartitions("slot", "place", "_d")
+    return ordered.select("_row.*")

@@ -237,7 +237,7 @@ def pack(
     full = made.where(F.col("length") == capacity)
     open_ = made.where(F.col("length") < capacity)
     blocks = max(1, -(-open_.count() // block))
-    dealt = open_.withColumn("_block", F.pmod(F.xxhash64("_id", "piece", "ids_crc32"), F.lit(blocks)))
+    dealt = open_.withColumn("_block", F.pmod(F.xxhash64("_id", "piece", F.monotonically_increasing_id()), F.lit(blocks)))
     dealt = stored(dealt.withColumn("_rank", F.row_number().over(_by_block())), "dealt")
     sized = dealt.select("_block", "_rank", "length").groupBy("_block").applyInArrow(_gathered, "_block long, _sizes binary")
     islands = F.explode(F.array(*(F.lit(k) for k in range(ISLANDS))))
