@@ -6,8 +6,8 @@ signatures that differ in fewer than 2 * CHUNKS places share a key, so no such p
 similarity shares none with a probability under 1e-6.
 
 Texts with one shingle set are one class, held by its smallest id. Classes that share a key with another are sorted
-into tiles, near ones together; tiles that share a key are compared with each other, block by block on the full
-sets, and only the links that join two groups of a block leave it. So neither a bucket nor a group of copies is
+into tiles, near ones together; a class is compared, on the full sets, with its own tile and with those that it
+shares a key with, in blocks of a bounded size, and only the links that join two groups of a block leave it. So neither a bucket nor a group of copies is
 gathered in one task, and no pair is made of classes that the keys keep apart.
 """
 
@@ -28,6 +28,10 @@ from reelmill.shared import stored
 FUNCTIONS, CHUNKS = 40, 8
 #: A tile has about so many shingles, and so many classes, at most.
 TILE_SHINGLES, TILE_CLASSES = 150_000, 256
+#: Classes of other tiles visit the tiles that they share a key with; so many of their shingles, about, at a time.
+VISITOR_SHINGLES = 300_000
+#: Doublings of the path from a class to the one that names its neighbourhood; what is left apart costs tiles, never links.
+JUMPS = 3
 BROADCAST_ROWS = 1_000_000
 _NO_ID = -(1 << 63)
 
@@ -68,15 +72,15 @@ def _scan_sets(rows: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(scan, "_d long, _tile long, _set binary")
 
 
-def _links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links of a forest that joins what is similar: across the two sides, or among all if there is one."""
+def _links(sets: list[np.ndarray], guest: np.ndarray, hosts_too: bool, percent: int) -> list[tuple[int, int]]:
+    """Links of a forest that joins what is similar: hosts with guests, and with each other if hosts_too."""
     size = np.array([len(s) for s in sets])
     flat, at = np.unique(np.concatenate(sets), return_inverse=True)
     first = np.cumsum(size) - size
     group, has, out = np.arange(len(sets)), np.zeros(len(flat), bool), []
-    two = side.any()
-    for i in np.flatnonzero(side == 0):
-        others = np.flatnonzero((side == 1 if two else np.arange(len(sets)) > i) & (group != group[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
+    for i in np.flatnonzero(~guest):
+        met = guest | (np.arange(len(sets)) > i) if hosts_too else guest
+        others = np.flatnonzero(met & (group != group[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
         if not len(others):
             continue
         mine = at[first[i] : first[i] + size[i]]
@@ -95,20 +99,25 @@ def _links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple
 def _compare(percent: int):
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        ids, side = table["_d"].to_numpy(), table["_side"].to_numpy()
+        ids, guest = table["_d"].to_numpy(), table["_guest"].to_numpy(zero_copy_only=False)
         sets = [np.frombuffer(x, np.uint64) for x in table["_set"].to_pylist()]
-        found = _links(sets, side, percent)
+        found = _links(sets, guest, table["_part"][0].as_py() == 0, percent)
         return pa.table({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
 
     return compare
 
 
 def _tiles(near: DataFrame, classes: DataFrame) -> DataFrame:
-    """(_d, _tile): classes that share most of their keys with one class are neighbours; tiles are cut by hash to their bound."""
+    """(_d, _tile): classes that share most of their keys with one class are neighbours, as are those that follow its
+    own choice; tiles are cut by hash to their bound."""
     label = near.groupBy("_d", "_least").agg(F.count("*").alias("_c")).groupBy("_d").agg(F.max_by("_least", F.struct(F.col("_c"), -F.col("_least"))).alias("_label"))
-    label = label.join(classes.select("_d", "_n"), "_d")
+    for _ in range(JUMPS):
+        label = stored(label, "labels")
+        next_ = label.select(F.col("_d").alias("_label"), F.col("_label").alias("_next"))
+        label = label.join(next_, "_label", "left").select("_d", F.coalesce("_next", "_label").alias("_label"))
+    label = stored(label.join(classes.select("_d", "_n"), "_d"), "labels")
     sizes = label.groupBy("_label").agg(F.greatest(F.ceil(F.sum("_n") / TILE_SHINGLES), F.ceil(F.count("*") / TILE_CLASSES)).alias("_parts"))
-    return label.join(sizes, "_label").select("_d", F.xxhash64("_label", F.pmod(F.xxhash64("_d"), "_parts")).alias("_tile"))
+    return label.join(sizes, "_label").select("_d", "_n", F.xxhash64("_label", F.pmod(F.xxhash64("_d"), "_parts")).alias("_tile"))
 
 
 def _class_links(classes: DataFrame, rows: DataFrame, k: int, percent: int, broadcast_rows: int) -> DataFrame:
@@ -120,12 +129,16 @@ def _class_links(classes: DataFrame, rows: DataFrame, k: int, percent: int, broa
     near = stored(keys.join(small(shared), "_key"), "near")
     tiles = stored(_tiles(near, classes), "tiles")
     held = stored(_scan_sets(rows.join(small(tiles), "_d"), k), "sets")
-    met = near.join(tiles, "_d").groupBy("_key").agg(F.sort_array(F.collect_set("_tile")).alias("_tiles")).select("_tiles").distinct()
-    pairs = met.select(F.explode("_tiles").alias("_a"), "_tiles").select("_a", F.explode("_tiles").alias("_b")).where("_a <= _b").distinct()
-    pairs = stored(pairs, "pairs")
-    side = lambda tile, n: pairs.select("_a", "_b", F.col(tile).alias("_tile")).join(held, "_tile").select("_a", "_b", F.lit(n).alias("_side"), "_d", "_set")
-    blocks = side("_a", 0).unionByName(side("_b", 1).where("_a <> _b"))
-    return blocks.groupBy("_a", "_b").applyInArrow(_compare(percent), "a long, b long")
+    of_key = near.join(tiles, "_d").groupBy("_key").agg(F.collect_set("_tile").alias("_tiles")).where("size(_tiles) > 1")
+    of_class = near.join(of_key, "_key").groupBy("_d").agg(F.array_distinct(F.flatten(F.collect_set("_tiles"))).alias("_tiles"))
+    visits = of_class.join(tiles, "_d").select("_d", "_n", F.explode(F.expr("filter(_tiles, t -> t < _tile)")).alias("_at"))
+    visits = stored(visits, "visits")
+    parts = visits.groupBy("_at").agg(F.ceil(F.sum("_n") / VISITOR_SHINGLES).alias("_parts"))
+    guests = visits.join(parts, "_at").select("_d", "_at", F.pmod(F.xxhash64("_d"), "_parts").alias("_part"), F.lit(True).alias("_guest"))
+    hosts = tiles.join(parts, tiles["_tile"] == parts["_at"], "left")
+    hosts = hosts.select("_d", F.col("_tile").alias("_at"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part"), F.lit(False).alias("_guest"))
+    blocks = hosts.unionByName(guests).join(held, "_d")
+    return blocks.groupBy("_at", "_part").applyInArrow(_compare(percent), "a long, b long")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
