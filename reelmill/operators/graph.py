@@ -39,3 +39,28 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         rows = stored(_small_star(_large_star(rows)), "edges")
         before, mark = mark, _mark(rows)
     return rows.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(rows.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def identity_edges(rows: DataFrame, tokens: str, label: str, split: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges): all tokens of rows outside the test split, and the first two tokens of each positive row."""
+    rows = rows.where(F.coalesce(F.col(split) != "test", F.lit(True))) if split else rows
+    nodes = rows.select(F.explode(tokens).alias("node")).distinct()
+    edges = rows.where((F.col(label) == 1) & (F.size(tokens) >= 2)).select(F.col(tokens)[0].alias("a"), F.col(tokens)[1].alias("b"))
+    return nodes, edges
+
+
+def named_components(nodes: DataFrame, edges: DataFrame, prefix: str = "identity-component/") -> DataFrame:
+    """(node, component, name): a component is named by its sorted members; a node without edges is one by itself."""
+    found = nodes.join(connected_components(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    found = stored(found, "components")
+    names = found.groupBy("component").agg(F.concat(F.lit(prefix), F.array_join(F.array_sort(F.collect_set(F.col("node").cast("string"))), "-")).alias("name"))
+    return found.join(names, "component").select("node", "component", "name")
+
+
+def group_ids(rows: DataFrame, components: DataFrame, tokens: str, path: str, split: str) -> DataFrame:
+    """Adds group_id: official-test/<path> for test rows, the component of the first token, else the path; paths lower-case, without suffix."""
+    stem = F.lower(F.regexp_replace(path, r"\.[^./]*$", ""))
+    # get() is null beyond the end, so a row without tokens finds no component
+    joined = rows.withColumn("_first", F.get(tokens, 0)).join(components.select(F.col("node").alias("_first"), "name"), "_first", "left")
+    group = F.when(F.col(split) == "test", F.concat(F.lit("official-test/"), stem)).otherwise(F.coalesce("name", stem))
+    return joined.withColumn("group_id", group).drop("_first", "name")

@@ -1,0 +1 @@
+"""Whole runs, put together from operators."""

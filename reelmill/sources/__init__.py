@@ -1,0 +1 @@
+"""Where rows come from: listings, manifests, lists and split files."""
