@@ -2,8 +2,8 @@
 
 A text's signature holds 16 bits of its least shingle hash under each of FUNCTIONS hash functions. The signature is
 split into CHUNKS chunks; each chunk gives one key for every place of it that may differ. By pigeonhole two
-signatures that differ in fewer than 2 * CHUNKS places share a key, so no such pair is missed; a pair at the default
-similarity shares none with a probability under 1e-6.
+signatures that differ in fewer than 2 * CHUNKS places share a key, so no such pair is missed; a pair at a
+similarity of 0.8 shares none with a probability of 2e-6, at 0.85 of 2e-8.
 
 Texts with one shingle set are one class, held by its smallest id. Classes that share a key with another are sorted
 into tiles, near ones together; a class is compared, on the full sets, with its own tile and with those that it
@@ -25,7 +25,7 @@ from reelmill.llm._words import Words, columns, slices
 from reelmill.operators.graph import connected_components
 from reelmill.shared import stored
 
-FUNCTIONS, CHUNKS = 40, 8
+FUNCTIONS, CHUNKS = 50, 10
 #: A tile has about so many shingles, and so many classes, at most.
 TILE_SHINGLES, TILE_CLASSES = 150_000, 256
 #: Classes of other tiles visit the tiles that they share a key with; so many of their shingles, about, at a time.
@@ -163,7 +163,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(shown("_d").alias(id_col), F.col("_n").alias("n_shingles"), shown("_c").alias("component_id"), (F.col("_d") == F.col("_c")).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of docs that stay, whole: one of each group."""
-    gone = near_dedup(docs, id_col, text_col, **how).where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS, **how) -> DataFrame:
+    """The rows of docs that stay, whole: one of each group. Rows that repeat an id stay or go together."""
+    gone = near_dedup(docs, id_col, text_col, broadcast_rows=broadcast_rows, **how).where(~F.col("kept"))
+    gone = stored(gone.select(F.col(id_col).alias("_gone")).distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
