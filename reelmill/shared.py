@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,3 +28,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Side tables of up to this many rows (tens of bytes each) are broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def looked_up(df: DataFrame, table: DataFrame, on: list[str] | str, name: str, how: str = "inner", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df joined with a table that has one row for each key.
+
+    The table is written first and so has a known size: a small one is broadcast. A large one meets df in a join whose
+    two sides are both plain shuffles, which adaptive execution can split where a key has very many rows; joined
+    straight from its aggregate, it would hold all rows of a key in one task.
+    """
+    table = stored(table, name)
+    return df.join(F.broadcast(table) if table.count() <= broadcast_rows else table, on, how)
