@@ -5,24 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmill.shared import stored
+from reelmill.shared import BROADCAST_ROWS, looked_up, stored
 
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum((F.xxhash64("a", "b") % 1_000_003).cast("long")), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame, large: bool) -> DataFrame:
+    """A node can have a large share of all edges; where there are many, its rows have to be splittable."""
+    return looked_up(edges, least, "a", "least") if large else edges.join(least, "a")
+
+
+def _large_star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
-    met = both.join(least, "a").where("b > a")
+    met = _with_least(both, least, large).where("b > a")
     return met.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, large: bool) -> DataFrame:
     """Every edge leads from its larger end (a) to its smaller one (b)."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    met = edges.join(least, "a")
+    met = _with_least(edges, least, large)
     return met.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
 
 
@@ -36,7 +41,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     rows = stored(rows, "edges")
     before, mark = None, _mark(rows)
     while mark != before:
-        rows = stored(_small_star(_large_star(rows)), "edges")
+        large = mark[0] > BROADCAST_ROWS
+        rows = stored(_small_star(stored(_large_star(rows, large), "edges"), large), "edges")
         before, mark = mark, _mark(rows)
     return rows.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(rows.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 

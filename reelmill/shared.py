@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Tables of this process, for release().
+_written: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a local folder, set once per session, only where that is unset."""
@@ -27,6 +30,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -43,3 +47,11 @@ def looked_up(df: DataFrame, table: DataFrame, on: list[str] | str, name: str, h
     """
     table = stored(table, name)
     return df.join(F.broadcast(table) if table.count() <= broadcast_rows else table, on, how)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes the tables that this process has written to the shared folder; results that still read them are lost."""
+    jvm = spark.sparkContext._jvm
+    while _written:
+        place = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
