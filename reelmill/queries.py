@@ -425,10 +425,21 @@ def best_per_bin(spark, sf):
     return _best(spark, sf).select("user_id", "bin", "candidate_id", F.round("score", 6).alias("score"))
 
 
-@query()
+_CHOSEN = """max({{'s': 0.65::DOUBLE * c.q + 0.25::DOUBLE * least({motion} / 0.2::DOUBLE, 1.0::DOUBLE)
+    + 0.10::DOUBLE * greatest(0.0::DOUBLE, 1 - abs(c.t - (c.bin + 0.5::DOUBLE) * 86400.0::DOUBLE) / 43200.0::DOUBLE), 'n': -c.candidate_id, 'm': {motion}, 'q': c.q}}) AS best"""
+
+
+@query(f"""
+    WITH RECURSIVE {_SAMPLED}, bn AS (SELECT *, trunc(t / 86400.0::DOUBLE)::BIGINT AS bin FROM sm),
+    k AS (SELECT user_id, bin, row_number() OVER (PARTITION BY user_id ORDER BY bin) AS k FROM (SELECT DISTINCT user_id, bin FROM bn)), c AS (SELECT bn.*, k.k FROM bn JOIN k USING (user_id, bin)),
+    f AS (SELECT c.user_id, c.k, {_CHOSEN.format(motion="0.0::DOUBLE")} FROM c WHERE c.k = 1 GROUP BY c.user_id, c.k
+        UNION ALL SELECT c.user_id, c.k, {_CHOSEN.format(motion="abs(c.q - f.best.q)")} FROM f JOIN c ON c.user_id = f.user_id AND c.k = f.k + 1 GROUP BY c.user_id, c.k)
+    SELECT user_id, bin, -best.n AS candidate_id, round(best.s, 9) AS score, round(best.m, 9) AS motion FROM f JOIN k USING (user_id, k)
+""")
 def fold_select(spark, sf):
     rows = _sampled(spark, sf).withColumn("bin", selection.time_bin(F.col("t"), DAY))
-    return selection.fold_select(rows, "user_id", "bin", "candidate_id", "t", "q", "q", DAY)
+    chosen = selection.fold_select(rows, "user_id", "bin", "candidate_id", "t", "q", "q", DAY)
+    return chosen.select("user_id", "bin", "candidate_id", F.round("score", 9).alias("score"), F.round("motion", 9).alias("motion"))
 
 
 @query(f"WITH {_BINS} SELECT user_id, bin, state, round(quality, 6) AS quality FROM ft")
@@ -457,10 +468,15 @@ def stratified_top1(spark, sf):
     return sequences.stratified_top1(_table(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", 6).select("o_custkey", "o_orderkey")
 
 
-@query()
+@query(f"""
+    WITH RECURSIVE {_FRAMES}, r AS (SELECT user_id, i, CASE WHEN user_id % 5 = 0 THEN 30.0::DOUBLE ELSE 25.0::DOUBLE END AS fps, CASE WHEN i % 7 = 3 THEN -1.0::DOUBLE ELSE t / 86400.0::DOUBLE END AS c FROM fr),
+    s AS (SELECT user_id, i, CASE WHEN c >= 0 THEN c ELSE i / fps END AS x FROM r WHERE i = 0
+        UNION ALL SELECT r.user_id, r.i, CASE WHEN r.c >= 0 AND r.c > s.x THEN r.c ELSE r.i / r.fps END FROM s JOIN r ON r.user_id = s.user_id AND r.i = s.i + 1)
+    SELECT user_id, i, round(x, 9) AS timestamp FROM s
+""")
 def timestamp_repair(spark, sf):
     rows = _frames(spark, sf).select("user_id", "i", F.when(F.col("user_id") % 5 == 0, 0.0).otherwise(25.0).alias("fps"), F.when(F.col("i") % 7 == 3, -1.0).otherwise(F.col("t") / 86400).alias("c"))
-    return sampling.repaired_timestamps(rows, "user_id", "i", "fps", "c").select("user_id", "i", F.round("timestamp", 6).alias("timestamp"))
+    return sampling.repaired_timestamps(rows, "user_id", "i", "fps", "c").select("user_id", "i", F.round("timestamp", 9).alias("timestamp"))
 
 
 # -- export and upsert ----------------------------------------------------------------------------------------------
