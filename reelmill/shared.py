@@ -55,3 +55,8 @@ def release(spark: SparkSession) -> None:
     while _written:
         place = jvm.org.apache.hadoop.fs.Path(_written.pop())
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def bounded_batches(spark: SparkSession, max_bytes: int = 4 << 20) -> None:
+    """Caps what goes to a Python worker at once: Arrow batches of whole texts are counted in bytes, not only in rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(max_bytes))
