@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmill.operators import selection
+from reelmill.operators.export import write_archives
 from reelmill.operators.validate import require_valid
 from reelmill.plans.config import RunConfig
 from reelmill.plans.run import write_json
@@ -26,6 +27,12 @@ def reset_sequences(config: RunConfig) -> None:
     os.makedirs(folder)
 
 
+def clear(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store holds it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
     """One CSV with a header, written beside its place and moved there; for manifests, which are metadata."""
     spark = rows.sparkSession
@@ -70,6 +77,15 @@ def write_images(images: DataFrame, folder: str, encode: Callable[[bytes], bytes
     return images.mapInPandas(write, "sequence_id string, files long").groupBy("sequence_id").agg(F.sum("files").alias("files"))
 
 
+def write_parts(shards: DataFrame, files: DataFrame, folder: str, keys: list[str], least_free: int = 11 << 30) -> Iterator[dict]:
+    """One archive after the other, for folders that hold few of them at a time; stops with an error when less than least_free is left."""
+    for r in shards.select("part").distinct().orderBy("part").collect():  # a row for each shard
+        if (free := shutil.disk_usage(folder).free) < least_free:
+            raise OSError(f"{free} bytes are free in {folder}, under {least_free}")
+        own = files.join(shards.where(F.col("part") == r["part"]).select(*keys, "part"), keys)
+        yield write_archives(own, folder).first().asDict()
+
+
 def plan_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A saved shard plan, or a new one that is saved."""
     if not os.path.exists(os.path.join(path, "_SUCCESS")):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,12 +77,12 @@ def write_json(payload: dict, path: str) -> None:
 
 
 def preprocess(
-    spark: SparkSession, config: RunConfig, decode, detector, existing: DataFrame | None = None, wanted: list[str] | None = None, max_videos: int | None = None, validate_only: bool = False, resume: bool = True
+    spark: SparkSession, config: RunConfig, decode, detector, existing: DataFrame | None = None, wanted: list[str] | None = None, max_videos: int | None = None, validate_only: bool = False, resume: bool = True, only=None
 ) -> tuple[DataFrame, dict]:
     """(manifest, summary). The fingerprint of an existing manifest is compared before anything is made.
 
     Videos that already have sequences under this fingerprint are left out if resume; videos that fail are listed in
-    the summary, or raise if the config says so.
+    the summary, or raise if the config says so. `only` narrows what is left to do.
     """
     config.check()
     if max_videos is not None and max_videos <= 0:
@@ -99,6 +100,7 @@ def preprocess(
     if validate_only:
         return conformed(videos, SEQUENCES), summary(videos, n + bad, bad, [], print_)
     todo = remaining(videos, existing.where(F.col("pipeline_fingerprint") == print_), ["dataset_id", "video_id"]) if existing is not None and resume else videos
+    todo = only(todo) if only else todo
     frames = stored(chosen_frames(todo, decode, detector, config.video_settings()), "frames")
     failed = [r.asDict() for r in frames.where("error IS NOT NULL").select("video_id", "error").orderBy("video_id").limit(1000).collect()]
     if failed and config.fail_on_video_error:
@@ -107,3 +109,33 @@ def preprocess(
     sort = ["split", "label", "dataset_id", "video_id", "start_time"]
     manifest = stored(upsert(existing, made, ["sequence_id"], ["start_time"], sort) if existing is not None else made.orderBy(*sort), "manifest")
     return manifest, summary(manifest, n + bad, bad, failed, print_)
+
+
+def preprocess_in_steps(spark: SparkSession, config: RunConfig, decode, detector, path: str, steps: int, **how) -> tuple[DataFrame, dict]:
+    """preprocess over `steps` parts of the videos (dealt by a hash of their ids), each part saved before the next begins.
+
+    The manifest at path (Parquet, a folder for each step) always holds every finished part, so a run that is
+    stopped resumes after the last one.
+    """
+    if steps <= 0:
+        raise ValueError("steps must be positive")
+    told: dict = {}
+    failed: list[dict] = []
+    for k in range(steps):
+        existing = saved_manifest(spark, path)
+        part = lambda v, k=k: v.where(F.pmod(F.xxhash64("dataset_id", "video_id"), F.lit(steps)) == k)
+        made, told = preprocess(spark, config, decode, detector, existing=existing, only=part, **how)
+        failed += told["failed_videos"]
+        fresh = made.join(existing.select("sequence_id"), "sequence_id", "left_anti") if existing is not None else made
+        fresh.write.parquet(f"{path}/step={uuid.uuid4().hex}")
+    manifest = saved_manifest(spark, path)
+    return manifest, told | {"failed_videos": failed}
+
+
+def saved_manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """What earlier steps have saved; None if that is nothing."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = [str(s.getPath().getParent()) for s in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/step=*/_SUCCESS")) or []]
+    return stored(conformed(spark.read.schema(SEQUENCES).parquet(*sorted(done)), SEQUENCES), "manifest") if done else None

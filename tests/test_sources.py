@@ -215,6 +215,22 @@ def test_from_videos_to_a_manifest(spark, tmp_path):
         runs.preprocess(spark, dataclasses.replace(config, fail_on_video_error=True), decode, detector)
 
 
+def test_steps_and_the_command_line(spark, tmp_path, capsys):
+    from reelmill.__main__ import main
+
+    touch(tmp_path, "in/raw/targets/1x1/th/a.mp4", "in/raw/targets/1x1/th/b.mp4", "in/raw/targets/1x1/th/broken.mp4")
+    (tmp_path / "c.yaml").write_text("sources: [{id: vcf, adapter: layout, root: in}]\noutput_dir: out\nseq_len: 8\nwindow_hop: 4\nimage_size: 16\nmax_sequences_per_video: 2\n")
+    os.makedirs(tmp_path / "out")
+    common = [str(tmp_path / "c.yaml"), "--decoder", "tests.test_sources:decode", "--detector", "tests.test_sources:detector"]
+    assert main(["run", *common, "--steps", "2"]) == 0
+    told = json.loads((tmp_path / "out/summary.json").read_text())
+    assert told["sequences"] == 4 and [f["video_id"] for f in told["failed_videos"]] == ["raw/targets/1x1/th/broken.mp4"]
+    assert main(["run", *common, "--steps", "2"]) == 0 and runs.saved_manifest(spark, str(tmp_path / "out/manifest")).count() == 4
+    assert main(["validate", str(tmp_path / "c.yaml")]) == 0
+    with pytest.raises(SystemExit):
+        main(["run", *common, "--overwrite", "--dataset", "vcf"])
+
+
 def test_png_and_resize():
     import struct
     import zlib
