@@ -36,7 +36,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def slices(column: pa.Array, max_bytes: int = 2_000_000, max_rows: int = 4000) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, max_bytes: int = 500_000, max_rows: int = 4000) -> Iterator[tuple[int, int]]:
     """Row ranges of about max_bytes of text; a longer text is a range of its own."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)

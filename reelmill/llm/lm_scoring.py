@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmill.llm._words import Words, columns, mix, slices
-from reelmill.shared import stored
+from reelmill.shared import bounded_batches, stored
 
 _U = np.uint64
 CLASSES, IN_CLASS = 32, 32
@@ -227,6 +227,7 @@ def _averaged(trained: DataFrame, tasks: int) -> Parameters | None:
 
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[np.ndarray, Parameters]:
     """The vocabulary and the network of a corpus; of an empty one the first parameters."""
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(text_col).cast("string").alias("_text"))
     known, p = vocabulary(texts), fresh()
     for k in range(rounds):
@@ -241,6 +242,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Parameters], id_col: str = "
 
     Null and empty texts have no words and a sum of zero; repeated rows have one score; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     known, p = model
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
 

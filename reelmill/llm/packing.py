@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmill.shared import stored
+from reelmill.shared import bounded_batches, stored
 
 CAPACITY = 2048
 #: Pieces in a block, on average; islands to a block; rounds with migration after each; packings to an island; children to a round.
@@ -232,6 +232,7 @@ def pack(
     into whole sequences after a first piece of what is left over. Repeated rows are packed each for itself, null ids
     stay null, an empty table gives no rows, other columns of docs are ignored.
     """
+    bounded_batches(docs.sparkSession)
     made = stored(pieces(docs, id_col, text_col, tokenizer, capacity, end_id), "pieces")
     kind = made.schema["_id"].dataType.simpleString()
     full = made.where(F.col("length") == capacity)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmill.llm._words import Words, columns, mix, slices
+from reelmill.shared import bounded_batches
 
 _U = np.uint64
 SLOTS, WIDTH, ONES, REACH = 16_384, 32, 2, 2
@@ -55,7 +56,7 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
         total = np.zeros((SLOTS, WIDTH + 1))
         for batch in batches:
             (column,) = columns(batch, "_text")
-            for at, to in slices(column):
+            for at, to in slices(column, 4_000_000):  # each adds up a whole table, so few are better
                 words = Words(column.slice(at, to - at))
                 if len(words):
                     total += _context_sums(words)
@@ -72,7 +73,7 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
 def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """(texts, FEATURES): means, spreads and neighbour products of the word vectors, how many words, how few different ones."""
     out = np.zeros((len(column), FEATURES), np.float32)
-    for at, to in slices(column, 1_000_000):
+    for at, to in slices(column, 500_000):
         words = Words(column.slice(at, to - at))
         if not len(words):
             continue
@@ -156,6 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Null labels are left out; of several labels for one id the smallest counts. Without two kinds of label the model
     scores every text with the mean label (0.5 if there is none).
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("_d"), F.col(text_col).cast("string").alias("_text"))
     vectors = word_vectors(texts.select("_text"))
     known = labels.where(F.col(label_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("_d")).agg(F.min(label_col).cast("int").alias("_y"))
@@ -186,6 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """docs with a column more: the probability that a text is of quality. Null and empty texts have a score as well."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     held = spark.sparkContext.broadcast(model)  # bounded by SLOTS, WIDTH and HIDDEN
 
     @F.pandas_udf("double")

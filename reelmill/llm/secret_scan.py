@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelmill.shared import bounded_batches
+
 # The base patterns, in the order that breaks ties between spans with one start.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -179,6 +181,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             kinds = [pa.int64()] * 4 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["_id", "n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(scan, f"_id {kind}, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string").withColumnRenamed("_id", id_col)
