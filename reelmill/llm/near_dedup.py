@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from reelmill.llm._sets import MAX_TEXTS, Sets, chunk_keys
 from reelmill.llm._words import Words, columns, slices
 from reelmill.operators.graph import connected_components
-from reelmill.shared import stored
+from reelmill.shared import bounded_batches, looked_up, stored
 
 FUNCTIONS, CHUNKS = 50, 10
 #: A tile has about so many shingles, and so many classes, at most.
@@ -117,7 +117,7 @@ def _tiles(near: DataFrame, classes: DataFrame) -> DataFrame:
         label = label.join(next_, "_label", "left").select("_d", F.coalesce("_next", "_label").alias("_label"))
     label = stored(label.join(classes.select("_d", "_n"), "_d"), "labels")
     sizes = label.groupBy("_label").agg(F.greatest(F.ceil(F.sum("_n") / TILE_SHINGLES), F.ceil(F.count("*") / TILE_CLASSES)).alias("_parts"))
-    return label.join(sizes, "_label").select("_d", "_n", F.xxhash64("_label", F.pmod(F.xxhash64("_d"), "_parts")).alias("_tile"))
+    return looked_up(label, sizes, "_label", "sizes").select("_d", "_n", F.xxhash64("_label", F.pmod(F.xxhash64("_d"), "_parts")).alias("_tile"))
 
 
 def _class_links(classes: DataFrame, rows: DataFrame, k: int, percent: int, broadcast_rows: int) -> DataFrame:
@@ -130,12 +130,12 @@ def _class_links(classes: DataFrame, rows: DataFrame, k: int, percent: int, broa
     tiles = stored(_tiles(near, classes), "tiles")
     held = stored(_scan_sets(rows.join(small(tiles), "_d"), k), "sets")
     of_key = near.join(tiles, "_d").groupBy("_key").agg(F.collect_set("_tile").alias("_tiles")).where("size(_tiles) > 1")
-    of_class = near.join(of_key, "_key").groupBy("_d").agg(F.array_distinct(F.flatten(F.collect_set("_tiles"))).alias("_tiles"))
+    of_class = looked_up(near, of_key, "_key", "tiles_of_key").groupBy("_d").agg(F.array_distinct(F.flatten(F.collect_set("_tiles"))).alias("_tiles"))
     visits = of_class.join(tiles, "_d").select("_d", "_n", F.explode(F.expr("filter(_tiles, t -> t < _tile)")).alias("_at"))
     visits = stored(visits, "visits")
-    parts = visits.groupBy("_at").agg(F.ceil(F.sum("_n") / VISITOR_SHINGLES).alias("_parts"))
-    guests = visits.join(parts, "_at").select("_d", "_at", F.pmod(F.xxhash64("_d"), "_parts").alias("_part"), F.lit(True).alias("_guest"))
-    hosts = tiles.join(parts, tiles["_tile"] == parts["_at"], "left")
+    parts = stored(visits.groupBy("_at").agg(F.ceil(F.sum("_n") / VISITOR_SHINGLES).alias("_parts")), "parts")
+    guests = visits.join(small(parts), "_at").select("_d", "_at", F.pmod(F.xxhash64("_d"), "_parts").alias("_part"), F.lit(True).alias("_guest"))
+    hosts = tiles.join(small(parts), tiles["_tile"] == parts["_at"], "left")
     hosts = hosts.select("_d", F.col("_tile").alias("_at"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part"), F.lit(False).alias("_guest"))
     blocks = hosts.unionByName(guests).join(held, "_d")
     return blocks.groupBy("_at", "_part").applyInArrow(_compare(percent), "a long, b long")
@@ -150,6 +150,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and stays null; rows that repeat id and text share one component. An empty table gives no rows. Other columns
     of docs are ignored.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_d"), F.col(text_col).cast("string").alias("_text"))
     kind = docs.schema[id_col].dataType
     scanned = stored(_scan_signatures(rows, k), "signatures")
@@ -158,7 +159,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = _class_links(classes, rows, k, percent, broadcast_rows)
     found = connected_components(links).select(F.col("node").alias("_d"), "component")
     of_class = classes.join(found, "_d", "left").select(*same, F.coalesce("component", "_d").alias("_c"))
-    out = scanned.drop("_sig").join(of_class, same, "left").select("_d", "_n", F.coalesce("_c", "_d").alias("_c"))
+    out = looked_up(scanned.drop("_sig"), of_class, same, "class_ids", "left", broadcast_rows).select("_d", "_n", F.coalesce("_c", "_d").alias("_c"))
     shown = lambda c: F.when(F.col(c) != _NO_ID, F.col(c)).cast(kind)
     return out.select(shown("_d").alias(id_col), F.col("_n").alias("n_shingles"), shown("_c").alias("component_id"), (F.col("_d") == F.col("_c")).alias("kept"))
 
