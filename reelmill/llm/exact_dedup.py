@@ -13,7 +13,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmill.shared import stored
+from reelmill.shared import looked_up, stored
 
 #: The filter is broadcast up to this many (word, mask) rows, about 50 MB; beyond it the probe is a shuffled join of ids and hashes.
 BROADCAST_WORDS = 1_000_000
@@ -71,7 +71,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = lambda df, keep, size: df.select(
         F.col("_id").alias(id_col), keep.alias("keep_id"), size.alias("group_size"), F.col("_id").eqNullSafe(keep).alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256")
     )
-    decided = out(maybe.join(groups, "_sha"), F.col("keep_id"), F.col("group_size"))
+    decided = out(looked_up(maybe, groups, "_sha", "groups", broadcast_rows=broadcast_words), F.col("keep_id"), F.col("group_size"))
     return out(probed.where(~F.col("_maybe")), F.col("_id"), F.lit(1).cast("long")).unionByName(decided)
 
 
