@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmill.llm._words import Words, columns, mix, slices
-from reelmill.shared import stored
+from reelmill.shared import bounded_batches, looked_up, stored
 
 #: Side tables of up to this many rows (tens of bytes each) are broadcast; beyond it the join is a shuffled one.
 BROADCAST_ROWS = 1_000_000
@@ -129,13 +129,13 @@ def repeated_spans(rows: DataFrame, window: int, broadcast_rows: int = BROADCAST
     straight = span(pieces.where("not _branches"))
     branching = pieces.where("_branches").drop("_first")
     firsts = branching.groupBy("_m", "_c").agg(F.min("_d").alias("_first"))
-    branching = stored(branching.join(firsts, ["_m", "_c"]), "branching")
+    branching = stored(looked_up(branching, firsts, ["_m", "_c"], "firsts", broadcast_rows=broadcast_rows), "branching")
     copies = span(branching.where("_d > _first"))
     wanted = branching.where("_d = _first").groupBy("_d", "_t").agg(F.collect_list("_start").alias("_starts"))
     size = branching.where("_d = _first").count()
     edges = stored(_scan_edges(rows.join(_sized(wanted, size, broadcast_rows, "shuffle_hash"), ["_d", "_t"]).select("_d", "_t", "_text", "_starts"), window), "edges")
     heads = edges.groupBy("_m", "_e").agg(F.min("_d").alias("_first"), F.max("_d").alias("_last")).where("_first < _last").drop("_last")
-    single = span(edges.join(heads, ["_m", "_e"]).where("_d > _first").withColumn("_n", F.lit(1)))
+    single = span(looked_up(edges, heads, ["_m", "_e"], "heads", broadcast_rows=broadcast_rows).where("_d > _first").withColumn("_n", F.lit(1)))
     spans = straight.unionByName(copies).unionByName(single)
     by_text = spans.groupBy("_d", "_t").agg(F.collect_list(F.struct("_start", "_end")).alias("_spans"))
     return stored(by_text.mapInArrow(_merged, "_d long, _t long, _starts array<int>, _ends array<int>"), "spans")
@@ -167,6 +167,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     have no words; a null id counts as smaller than any other; rows with one id are told apart by their text and
     never remove each other's words. An empty table gives no rows. Other columns of docs are ignored.
     """
+    bounded_batches(docs.sparkSession)
     rows = _rows(docs, id_col, text_col)
     spans = repeated_spans(rows, window, broadcast_rows)
     text = F.col(text_col).cast("string")
