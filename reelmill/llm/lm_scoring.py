@@ -2,8 +2,10 @@
 
 The network predicts every word from REACH words on each side: their embeddings, one table for each place, add up to
 a hidden layer; a class of the word and the word in its class are two small softmaxes, so a prediction costs the
-square root of the vocabulary. The vocabulary is made of the most frequent words of the whole corpus and of hashed
-slots for all others.
+square root of the vocabulary. The network's vocabulary is made of the most frequent words of the whole corpus and of
+hashed slots for all others; a word of a slot has the slot's probability times its own share of the slot's places, from
+the counts of all words. These counts grow with the corpus and stay a distributed table: tasks hold the more frequent
+part of it, and the rest is joined.
 
 Training is data-parallel over the whole corpus: in each round every task starts from the shared parameters, masks
 each MASK_EVERYth place of its texts (by hash), and takes Adagrad steps on them; the parameters are then averaged,
@@ -32,6 +34,8 @@ MASK_EVERY, ROUNDS, STEP_PLACES, RATE = 6, 1, 1024, 0.08
 #: Parameters travel as blocks of so many numbers; so many tasks' blocks are added up at a time.
 BLOCK, FAN_IN = 4096, 64
 EDGE = VOCABULARY  # stands for what lies outside a text
+#: Words of slots whose counts every task holds, at most; the rarer ones are joined.
+HELD_WORDS = 500_000
 
 Parameters = dict[str, np.ndarray]
 
@@ -61,8 +65,8 @@ def unflat(numbers: np.ndarray) -> Parameters:
     return out
 
 
-def vocabulary(texts: DataFrame) -> np.ndarray:
-    """The hashes of the most frequent words, ascending; every word of the corpus is counted."""
+def counted(texts: DataFrame) -> DataFrame:
+    """(word, n): the hash and the count of every word of the corpus."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,15 +75,53 @@ def vocabulary(texts: DataFrame) -> np.ndarray:
                 word, n = np.unique(Words(column.slice(at, to - at)).hashes(), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], names=["word", "n"])
 
-    counts = texts.mapInArrow(scan, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return stored(texts.mapInArrow(scan, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "counts")
+
+
+def vocabulary(counts: DataFrame) -> np.ndarray:
+    """The hashes of the most frequent words, ascending."""
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - HASHED).toArrow()
     return np.sort(top["word"].to_numpy().view(_U))
 
 
+class Shares:
+    """What a word has of its slot: log of its count less log of the slot's.
+
+    ``words`` (ascending) and ``logs`` are the held part, ``slots`` the logs of the slots' counts, and ``rare`` the
+    (word, n) of all words that are not held and stand at more than one place (the log of one is zero).
+    """
+
+    def __init__(self, counts: DataFrame, known: np.ndarray, held: int):
+        spark = counts.sparkSession
+        rest = counts.join(F.broadcast(spark.createDataFrame([(int(w),) for w in known.view(np.int64)], "word long")), "word", "left_anti")
+        total = np.ones(HASHED)
+        for r in rest.groupBy(F.pmod("word", F.lit(HASHED)).alias("slot")).agg(F.sum("n").alias("n")).collect():
+            total[r["slot"]] = r["n"]
+        self.slots = np.log(total)
+        # Binary digits of the counts: at most 63 rows.
+        sizes = sorted(((r["digits"], r["count"]) for r in rest.groupBy(F.length(F.bin("n")).alias("digits")).count().collect()), reverse=True)
+        least = 1 << sizes[0][0] if sizes else 1
+        for digits, n in sizes:
+            if (held := held - n) < 0:
+                break
+            least = 1 << (digits - 1)
+        got = rest.where(F.col("n") >= least).toArrow().sort_by("word")
+        words, n = got["word"].to_numpy().view(_U), got["n"].to_numpy()
+        order = np.argsort(words)
+        self.words = words[order]
+        self.logs = np.log(n[order]) - self.slots[(self.words % _U(HASHED)).astype(np.int64)]
+        self.rare = rest.where((F.col("n") < least) & (F.col("n") > 1)) if least > 2 else None
+
+
+def _find(h: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each hash its place among ascending ones, and whether it is there."""
+    at = np.minimum(np.searchsorted(among, h), max(len(among) - 1, 0))
+    return at, among[at] == h if len(among) else np.zeros(len(h), bool)
+
+
 def _ids(words: Words, known: np.ndarray) -> np.ndarray:
     h = words.hashes()
-    at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
-    hit = known[at] == h if len(known) else np.zeros(len(h), bool)
+    at, hit = _find(h, known)
     spread = mix(np.arange(VOCABULARY, dtype=_U)).argsort()  # classes of like size: frequent words are dealt over them
     return spread[np.where(hit, at + HASHED, (h % _U(HASHED)).astype(np.int64))]
 
@@ -225,11 +267,11 @@ def _averaged(trained: DataFrame, tasks: int) -> Parameters | None:
     return unflat(np.concatenate([np.frombuffer(x, np.float32) for x in got["numbers"].to_pylist()])) if got.num_rows else None
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[np.ndarray, Parameters]:
-    """The vocabulary and the network of a corpus; of an empty one the first parameters."""
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, counts: DataFrame | None = None) -> tuple[np.ndarray, Parameters]:
+    """The vocabulary and the network of a corpus (whose word counts may be given); of an empty one the first parameters."""
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(text_col).cast("string").alias("_text"))
-    known, p = vocabulary(texts), fresh()
+    known, p = vocabulary(counted(texts) if counts is None else counts), fresh()
     for k in range(rounds):
         trained = stored(_trained(texts, known, p, k), "trained")
         last = trained.agg(F.max("task")).first()[0]
@@ -237,34 +279,74 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tupl
     return known, p
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, Parameters], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: id, n_words, log_likelihood (summed over all words), mean_log_likelihood (null without words).
+def _sums(docs: DataFrame, model: tuple[np.ndarray, Parameters], id_col: str, text_col: str, held: tuple[np.ndarray, ...] | None = None) -> DataFrame:
+    """(_row, _id, n_words, log_likelihood, _rare): the network's sums; with held (a Shares' arrays) also those of the words' shares.
 
-    Null and empty texts have no words and a sum of zero; repeated rows have one score; an empty table gives no rows.
+    _rare has the words that are not held, at each of their places; the logs of their own counts are still to be added.
     """
     bounded_batches(docs.sparkSession)
     known, p = model
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for at, to in slices(batch.column(1), 200_000):
                 words = Words(batch.column(1).slice(at, to - at))
                 total = np.zeros(to - at)
+                rare, cuts = np.zeros(0, np.int64), np.zeros(to - at + 1, np.int32)
                 if len(words):
-                    ids = _ids(words, known)
+                    ids, text = _ids(words, known), words.text_of()
                     for k in range(0, len(ids), 50_000):
                         places = np.arange(k, min(k + 50_000, len(ids)))
                         got = log_probabilities(p, _contexts(words, ids, places), ids[places])
-                        total += np.bincount(words.text_of()[places], got, to - at)
-                n = np.diff(words.first)
-                mean = pa.array(np.divide(total, n, out=np.zeros(to - at), where=n > 0), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(n), pa.array(total), mean], names=["_id", "n_words", "log_likelihood", "mean_log_likelihood"])
+                        total += np.bincount(text[places], got, to - at)
+                    if held is not None:
+                        h = words.hashes()
+                        other = ~_find(h, known)[1]
+                        h, text = h[other], text[other]
+                        there, hit = _find(h, held[0])
+                        total += np.bincount(text[hit], held[1][there[hit]], to - at)
+                        h, text = h[~hit], text[~hit]
+                        total -= np.bincount(text, held[2][(h % _U(HASHED)).astype(np.int64)], to - at)
+                        rare = h.view(np.int64)
+                        cuts[1:] = np.cumsum(np.bincount(text, minlength=to - at))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + to - at)), batch.column(0).slice(at, to - at), pa.array(np.diff(words.first)), pa.array(total), pa.ListArray.from_arrays(pa.array(cuts), pa.array(rare))],
+                    names=["_row", "_id", "n_words", "log_likelihood", "_rare"],
+                )
+                row += to - at
 
     kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"_id {kind}, n_words long, log_likelihood double, mean_log_likelihood double").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(scan, f"_row long, _id {kind}, n_words long, log_likelihood double, _rare array<long>")
+
+
+def _means(sums: DataFrame, id_col: str) -> DataFrame:
+    mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("mean_log_likelihood")
+    return sums.select(F.col("_id").alias(id_col), "n_words", "log_likelihood", mean)
+
+
+def score(docs: DataFrame, model: tuple[np.ndarray, Parameters], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: id, n_words, log_likelihood (summed over all words), mean_log_likelihood (null without words).
 
+    Words outside the vocabulary have their slot's probability. Null and empty texts have no words and a sum of zero;
+    repeated rows have one score; an empty table gives no rows.
+    """
+    return _means(_sums(docs, model, id_col, text_col), id_col)
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Trains on all texts of docs and scores each of them; other columns are ignored."""
-    return score(docs, train(docs, text_col), id_col, text_col)
+
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_words: int = HELD_WORDS) -> DataFrame:
+    """Trains on all texts of docs and scores each of them as score() does, but each word with its own probability; other columns are ignored."""
+    bounded_batches(docs.sparkSession)
+    counts = counted(docs.select(F.col(text_col).cast("string").alias("_text")))
+    model = train(docs, text_col, counts=counts)
+    shares = Shares(counts, model[0], held_words)
+    sums = _sums(docs, model, id_col, text_col, (shares.words, shares.logs, shares.slots))
+    if shares.rare is not None:
+        sums = stored(sums, "sums")
+        places = sums.select("_row", F.explode("_rare").alias("word"))
+        more = places.join(shares.rare, "word").groupBy("_row").agg(F.sum(F.log("n")).alias("_more"))
+        sums = sums.join(more, "_row", "left").withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce("_more", F.lit(0.0)))
+    return _means(sums, id_col)

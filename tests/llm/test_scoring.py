@@ -251,3 +251,24 @@ def test_averaging_in_groups_is_the_weighted_mean(spark, monkeypatch):
 
 def test_language_model_of_nothing(docs):
     assert lm_scoring.lm_scores(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("held", [10**6, 40, 0])
+def test_words_outside_the_vocabulary_have_their_own_probability(spark, monkeypatch, held):
+    model = np.sort(np.array([], np.uint64)), lm_scoring.fresh()  # every word lies in a slot
+    monkeypatch.setattr(lm_scoring, "train", lambda *_, **__: model)
+    data = table(spark, ROWS)
+    got = [tuple(r) for r in lm_scoring.lm_scores(data, held_words=held).collect()]
+    slots = {tuple(r)[:2]: tuple(r) for r in lm_scoring.score(data, model).collect()}
+    slot = {w: int(lm_scoring.Words(pa.array([w])).hashes()[0]) % lm_scoring.HASHED for _, t in ROWS for w in words_of(t)}
+    count, total = {}, {}
+    for _, t in ROWS:
+        for w in words_of(t):
+            count[w] = count.get(w, 0) + 1
+            total[slot[w]] = total.get(slot[w], 0) + 1
+    assert len(got) == len(ROWS)
+    texts = dict(ROWS)
+    for i, n, sum_, mean in got:
+        own = sum(np.log(count[w] / total[slot[w]]) for w in words_of(texts[i]))
+        assert n == len(words_of(texts[i])) and sum_ == pytest.approx(slots[i, n][2] + own, rel=1e-6, abs=1e-6)
+        assert mean is None if n == 0 else mean == pytest.approx(sum_ / n)
