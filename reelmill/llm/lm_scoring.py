@@ -8,8 +8,8 @@ the counts of all words. These counts grow with the corpus and stay a distribute
 part of it, and the rest is joined.
 
 Training is data-parallel over the whole corpus: in each round every task starts from the shared parameters, masks
-each MASK_EVERYth place of its texts (by hash), and takes Adagrad steps on them; the parameters are then averaged,
-weighted by the masked places. What a task hands on is one set of parameters, and averaging adds them up in groups.
+another MASK_EVERYth of the places of its texts (by hash), and takes Adagrad steps on them; the parameters are then
+averaged, weighted by the masked places. There are as many rounds as parts, so every place is a target once. What a task hands on is one set of parameters, and averaging adds them up in groups.
 A document's score is the sum of the log-probabilities of all its words, each given both its sides.
 """
 
@@ -29,8 +29,8 @@ _U = np.uint64
 CLASSES, IN_CLASS = 32, 32
 VOCABULARY, HASHED = CLASSES * IN_CLASS, 128
 REACH, HIDDEN = 2, 24
-#: One place in so many is masked in training; rounds over the corpus; places to a step; step width.
-MASK_EVERY, ROUNDS, STEP_PLACES, RATE = 6, 1, 1024, 0.08
+#: One place in so many is masked in a round; rounds over the corpus (each takes another part); places to a step; step width.
+MASK_EVERY, ROUNDS, STEP_PLACES, RATE = 6, 6, 1024, 0.08
 #: Parameters travel as blocks of so many numbers; so many tasks' blocks are added up at a time.
 BLOCK, FAN_IN = 4096, 64
 EDGE = VOCABULARY  # stands for what lies outside a text
@@ -119,8 +119,8 @@ def _find(h: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, among[at] == h if len(among) else np.zeros(len(h), bool)
 
 
-def _ids(words: Words, known: np.ndarray) -> np.ndarray:
-    h = words.hashes()
+def _ids(words: Words, known: np.ndarray, h: np.ndarray | None = None) -> np.ndarray:
+    h = words.hashes() if h is None else h
     at, hit = _find(h, known)
     spread = mix(np.arange(VOCABULARY, dtype=_U)).argsort()  # classes of like size: frequent words are dealt over them
     return spread[np.where(hit, at + HASHED, (h % _U(HASHED)).astype(np.int64))]
@@ -189,15 +189,19 @@ class Learner:
         off[np.arange(n), of] -= 1
         back = off @ p["cls"].T
         steps = [("cls", hidden.T @ off / n, ...), ("cls_bias", off.mean(0), ...)]
+        # All classes at once: the places of each are the rows of one layer, filled up with zeros.
         order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            at = order[cuts[c] : cuts[c + 1]]
-            if len(at):
-                off = _softmax(hidden[at] @ p["word"][c] + p["word_bias"][c])
-                off[np.arange(len(at)), inside[at]] -= 1
-                back[at] += off @ p["word"][c].T
-                steps += [("word", hidden[at].T @ off / n, c), ("word_bias", off.sum(0) / n, c)]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.arange(n) - np.searchsorted(of[order], np.arange(CLASSES))[of[order]]
+        layers = np.zeros((CLASSES, rank.max(initial=0) + 1, HIDDEN), np.float32)
+        layers[of, rank] = hidden
+        z = (layers @ p["word"] + p["word_bias"][:, None])[of, rank]
+        z = _softmax(z)
+        z[np.arange(n), inside] -= 1
+        off = np.zeros((*layers.shape[:2], IN_CLASS), np.float32)
+        off[of, rank] = z
+        back += (off @ p["word"].transpose(0, 2, 1))[of, rank]
+        steps += [("word", layers.transpose(0, 2, 1) @ off / n, ...), ("word_bias", off.sum(1) / n, ...)]
         back *= (1 - hidden * hidden) / n
         steps.append(("bias", back.sum(0), ...))
         for k in range(2 * REACH):
@@ -210,6 +214,12 @@ class Learner:
         self.places += n
 
 
+def _masked(words: Words, round_: int, h: np.ndarray | None = None) -> np.ndarray:
+    """The places that a round masks, by word and place in the text; MASK_EVERY rounds in a row mask each place once."""
+    inside = np.arange(len(words)) - np.repeat(words.first[:-1], np.diff(words.first))
+    return np.flatnonzero(mix(inside.astype(_U) + (words.hashes() if h is None else h)) % _U(MASK_EVERY) == round_ % MASK_EVERY)
+
+
 def _trained(texts: DataFrame, known: np.ndarray, start: Parameters, round_: int) -> DataFrame:
     """(task, block, weight, numbers): each task's parameters after its own texts."""
 
@@ -223,8 +233,8 @@ def _trained(texts: DataFrame, known: np.ndarray, start: Parameters, round_: int
                 words = Words(column.slice(at, to - at))
                 if not len(words):
                     continue
-                ids = _ids(words, known)
-                places = np.flatnonzero(mix(np.arange(len(ids), dtype=_U) + words.hashes() + _U(round_)) % _U(MASK_EVERY) == 0)
+                h = words.hashes()
+                ids, places = _ids(words, known, h), _masked(words, round_, h)
                 places = places[np.argsort(mix(places.astype(_U)), kind="stable")]
                 for k in range(0, len(places), STEP_PLACES):
                     chosen = places[k : k + STEP_PLACES]
@@ -298,13 +308,13 @@ def _sums(docs: DataFrame, model: tuple[np.ndarray, Parameters], id_col: str, te
                 total = np.zeros(to - at)
                 rare, cuts = np.zeros(0, np.int64), np.zeros(to - at + 1, np.int32)
                 if len(words):
-                    ids, text = _ids(words, known), words.text_of()
+                    h = words.hashes()
+                    ids, text = _ids(words, known, h), words.text_of()
                     for k in range(0, len(ids), 50_000):
                         places = np.arange(k, min(k + 50_000, len(ids)))
                         got = log_probabilities(p, _contexts(words, ids, places), ids[places])
                         total += np.bincount(text[places], got, to - at)
                     if held is not None:
-                        h = words.hashes()
                         other = ~_find(h, known)[1]
                         h, text = h[other], text[other]
                         there, hit = _find(h, held[0])

@@ -272,3 +272,14 @@ def test_words_outside_the_vocabulary_have_their_own_probability(spark, monkeypa
         own = sum(np.log(count[w] / total[slot[w]]) for w in words_of(texts[i]))
         assert n == len(words_of(texts[i])) and sum_ == pytest.approx(slots[i, n][2] + own, rel=1e-6, abs=1e-6)
         assert mean is None if n == 0 else mean == pytest.approx(sum_ / n)
+
+
+def test_every_place_is_a_target_once(spark, monkeypatch):
+    words = lm_scoring.Words(pa.array([t for _, t in ROWS]))
+    places = np.concatenate([lm_scoring._masked(words, k) for k in range(lm_scoring.ROUNDS)])
+    assert sorted(places) == list(range(len(words)))
+    asked = []
+    monkeypatch.setattr(lm_scoring, "_trained", lambda texts, known, p, k: asked.append(k) or spark.createDataFrame([], "task long, block long, weight long, numbers binary"))
+    monkeypatch.setattr(lm_scoring, "_averaged", lambda *_: None)
+    lm_scoring.train(table(spark, ROWS))
+    assert asked == list(range(lm_scoring.MASK_EVERY))
