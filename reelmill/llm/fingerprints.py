@@ -1,16 +1,16 @@
-"""Document fingerprints: SimHash of weighted shingles, and block tables that find all fingerprints in a Hamming radius.
+"""Document fingerprints: SimHash of weighted shingles, and a search for all fingerprints in a Hamming radius.
 
 Each distinct shingle of three words votes with its weight, 1 + log2 of its count, for or against each of 128 bits.
-For the search the bits are cut into radius + 2 blocks: fingerprints that differ in at most `radius` bits agree in two
-blocks at least, so the tables keyed by two blocks each contain every such pair. Only distinct fingerprints enter the
-tables, and a query set is held against them.
+Texts whose shingles are alike to 0.8 differ in about 20 bits, which is too far for block tables: a key of few enough
+bits to be met would be met by nearly all. So each distinct fingerprint of the query set is compared with each distinct
+fingerprint, which finds every pair in the radius. Tasks hold a bounded part of the query set at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,11 @@ from reelmill.llm._words import Words, columns, mix as _mix, slices
 from reelmill.shared import bounded_batches, stored
 
 _U = np.uint64
-BITS, SHINGLE, RADIUS = 128, 3, 3
+BITS, SHINGLE = 128, 3
+#: Bits in which the fingerprints of near copies may differ: 99 % of pairs at a similarity of 0.8 to below 1 are within.
+RADIUS = 24
+#: Fingerprints and queries compared at once; queries held by a task; comparisons to a task.
+TILE, HELD_QUERIES, TASK_PAIRS = (64, 4096), 1_000_000, 2_000_000_000
 #: Texts of fewer words have votes of byte runs as well.
 SHORT = 24
 #: Rows in a run of successive ids, and runs at most (their bounds are held by the driver).
@@ -147,38 +151,42 @@ def _prints(k: int):
     return scan
 
 
-def _masks(radius: int) -> list[tuple[int, int]]:
-    """The two halves of each table's mask: all pairs of radius + 2 blocks."""
-    cuts = [BITS * k // (radius + 2) for k in range(radius + 3)]
-    blocks = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return [((a | b) & (1 << 64) - 1, (a | b) >> 64) for a, b in combinations(blocks, 2)]
+def _within(q0: np.ndarray, q1: np.ndarray, radius: int):
+    """A scan over fingerprints: how many of their rows lie in the radius of each of the given ones."""
 
-
-def _tables(prints: DataFrame, radius: int) -> DataFrame:
-    """(_key, _h0, _h1): a row for each fingerprint and table."""
-    masks = _masks(radius)
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = np.zeros(len(q0), np.int64)
         for batch in batches:
             a, b = (c.to_numpy().view(_U) for c in columns(batch, "_h0", "_h1"))
-            for k, (low, high) in enumerate(masks):
-                key = _mix(_mix((a & _U(low)) + _U(k)) + (b & _U(high)))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *batch.columns], names=["_key", *batch.schema.names])
+            (rows,) = (c.to_numpy() for c in columns(batch, "_rows"))
+            for i in range(0, len(a), TILE[0]):
+                for j in range(0, len(q0), TILE[1]):
+                    apart = np.bitwise_count(a[i : i + TILE[0], None] ^ q0[None, j : j + TILE[1]])
+                    # Most pairs differ in more bits than that in their first halves.
+                    p, q = np.divmod(np.flatnonzero(apart <= radius), apart.shape[1])
+                    hit = apart[p, q].astype(np.int64) + np.bitwise_count(b[i + p] ^ q1[j + q]) <= radius
+                    np.add.at(near, j + q[hit], rows[i + p[hit]])
+        at = np.flatnonzero(near)
+        yield pa.RecordBatch.from_arrays([pa.array(q0[at].view(np.int64)), pa.array(q1[at].view(np.int64)), pa.array(near[at])], names=["_h0", "_h1", "_near"])
 
-    more = "".join(f", {c} {t}" for c, t in prints.dtypes)
-    return prints.mapInArrow(keys, f"_key long{more}")
+    return scan
 
 
-def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, held: int = HELD_QUERIES) -> DataFrame:
     """(_h0, _h1, _near): for each fingerprint of queries, how many rows of prints lie within the radius."""
-    distinct = prints.groupBy("_h0", "_h1").agg(F.count("*").alias("_rows"))
-    asked = stored(_tables(queries.select("_h0", "_h1").distinct(), radius).select("_key", F.col("_h0").alias("_q0"), F.col("_h1").alias("_q1")), "asked")
-    if asked.count() <= broadcast_rows:
-        asked = F.broadcast(asked)
-    met = _tables(distinct, radius).join(asked, "_key")
-    apart = F.bit_count(F.col("_h0").bitwiseXOR(F.col("_q0"))) + F.bit_count(F.col("_h1").bitwiseXOR(F.col("_q1")))
-    pairs = met.where(apart <= radius).select("_q0", "_q1", "_h0", "_h1", "_rows").distinct()
-    return pairs.groupBy(F.col("_q0").alias("_h0"), F.col("_q1").alias("_h1")).agg(F.sum("_rows").alias("_near"))
+    asked = stored(queries.select("_h0", "_h1").distinct(), "asked")
+    n = asked.count()
+    tasks = min(MAX_RUNS, max(prints.sparkSession.sparkContext.defaultParallelism, prints.count() * n // TASK_PAIRS))
+    distinct = prints.repartition(tasks, "_h0", "_h1").groupBy("_h0", "_h1").agg(F.count("*").alias("_rows"))
+    parts = max(1, -(-n // held))
+    distinct = stored(distinct, "distinct") if parts > 1 else distinct
+    found = []
+    for k in range(parts):
+        part = asked.where(F.pmod(F.xxhash64("_h0", "_h1"), F.lit(parts)) == k).toArrow()  # about `held` rows
+        q0, q1 = (part[c].to_numpy().view(_U) for c in ("_h0", "_h1"))
+        near = distinct.mapInArrow(_within(q0, q1, radius), "_h0 long, _h1 long, _near long")
+        found.append(stored(near, "met") if parts > 1 else near)
+    return reduce(DataFrame.unionByName, found).groupBy("_h0", "_h1").agg(F.sum("_near").alias("_near"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, radius: int = RADIUS, query_every: int = 100) -> DataFrame:

@@ -283,3 +283,25 @@ def test_every_place_is_a_target_once(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "_averaged", lambda *_: None)
     lm_scoring.train(table(spark, ROWS))
     assert asked == list(range(lm_scoring.MASK_EVERY))
+
+
+def test_near_copies_are_within_the_radius(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(40):  # 200 words each, and a copy with five of them changed: a similarity of about 0.86
+        words = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        copy = list(words)
+        for x in range(20, 200, 36):
+            copy[x] = f"new{k}x{x}"
+        rows += [(4 * k, " ".join(words)), (4 * k + 1, " ".join(copy))]
+    got = {r["doc_id"]: r["near_docs"] for r in fingerprints.fingerprints(table(spark, rows), query_every=4).collect()}
+    assert sum(got[4 * k] == 1 for k in range(40)) >= 38 and max(got[4 * k] for k in range(40)) == 1
+
+
+def test_queries_beyond_the_held_ones_are_searched_in_turn(spark):
+    rng = np.random.default_rng(6)
+    halves = rng.integers(0, 4, (300, 2))
+    rows = spark.createDataFrame([(int(a), int(b)) for a, b in halves], "_h0 long, _h1 long")
+    whole, parts = (sorted(map(tuple, fingerprints.near_counts(rows, rows, 1, **how).collect())) for how in ({}, {"held": 3}))
+    apart = np.bitwise_count(halves[:, None] ^ halves[None]).sum(2)
+    assert whole == parts == sorted({(int(a), int(b), int((apart[k] <= 1).sum())) for k, (a, b) in enumerate(halves)})
