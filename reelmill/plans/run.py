@@ -102,7 +102,7 @@ def preprocess(
     todo = remaining(videos, existing.where(F.col("pipeline_fingerprint") == print_), ["dataset_id", "video_id"]) if existing is not None and resume else videos
     todo = only(todo) if only else todo
     frames = stored(chosen_frames(todo, decode, detector, config.video_settings()), "frames")
-    failed = [r.asDict() for r in frames.where("error IS NOT NULL").select("video_id", "error").orderBy("video_id").limit(1000).collect()]
+    failed = failures(frames)
     if failed and config.fail_on_video_error:
         raise RuntimeError(f"{len(failed)} videos failed: {failed[:3]}")
     made = manifest_rows(build_sequences(frames.where("error IS NULL"), config), todo, config)
@@ -111,6 +111,11 @@ def preprocess(
     return manifest, summary(manifest, n + bad, bad, failed, print_)
 
 
+def failures(frames: DataFrame) -> list[dict]:
+    """Every video that failed, by its id; the summary names them all."""
+    return [r.asDict() for r in frames.where("error IS NOT NULL").select("video_id", "error").orderBy("video_id").collect()]
+
+
 def preprocess_in_steps(spark: SparkSession, config: RunConfig, decode, detector, path: str, steps: int, **how) -> tuple[DataFrame, dict]:
     """preprocess over `steps` parts of the videos (dealt by a hash of their ids), each part saved before the next begins.
 

@@ -69,3 +69,9 @@ def test_stored_tables_go_when_released(spark, tmp_path, monkeypatch):
     assert shared.stored(spark.range(3).toDF("id"), "t").count() == 3 and os.listdir(tmp_path)
     shared.release(spark)
     assert os.listdir(tmp_path) == [] and list_files(spark, str(tmp_path)).count() == 0
+
+
+def test_every_failed_video_is_listed(spark):
+    frames = spark.range(2500).selectExpr("lpad(id, 5, '0') AS video_id", "IF(id % 2 = 0, 'broken', NULL) AS error")
+    got = run.failures(frames)
+    assert [r["video_id"] for r in got] == [f"{i:05}" for i in range(0, 2500, 2)] and {r["error"] for r in got} == {"broken"}
