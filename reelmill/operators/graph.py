@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmill.shared import BROADCAST_ROWS, looked_up, stored
+from reelmill.shared import looked_up, stored
+
+#: Beyond so many edges joins with a node's least neighbour are made splittable.
+LARGE_EDGES = 1_000_000
+#: A graph of no more edges than that is solved in one task, as a round of stars would take longer to start.
+ONE_TASK_EDGES = 16_384
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -31,7 +39,27 @@ def _small_star(edges: DataFrame, large: bool) -> DataFrame:
     return met.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over a bounded number of edges; roots are the smallest nodes."""
+    root: dict = {}
+
+    def find(x):
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    kind = None
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x, y = sorted((find(x), find(y)))
+            root[y] = x
+    if kind is not None:
+        nodes = list(root)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([find(x) for x in nodes], kind)], names=["node", "component"])
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", one_task_edges: int = ONE_TASK_EDGES) -> DataFrame:
     """(node, component): each node that has an edge and the smallest node that it reaches.
 
     Rows with a null end or one end twice add nothing. The rounds grow with the logarithm of the longest path; each
@@ -40,8 +68,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     rows = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(F.col(a).isNotNull() & F.col(b).isNotNull()).where("a <> b").distinct()
     rows = stored(rows, "edges")
     before, mark = None, _mark(rows)
+    kind = rows.schema["a"].dataType.simpleString()
+    if mark[0] <= one_task_edges and kind in ("string", "bigint", "int"):
+        return rows.coalesce(1).mapInArrow(_united, f"node {kind}, component {kind}")
     while mark != before:
-        large = mark[0] > BROADCAST_ROWS
+        large = mark[0] > LARGE_EDGES
         rows = stored(_small_star(stored(_large_star(rows, large), "edges"), large), "edges")
         before, mark = mark, _mark(rows)
     return rows.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(rows.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

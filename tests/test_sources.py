@@ -102,7 +102,8 @@ def test_lists_and_canonical_splits(spark, tmp_path):
         lists.read_canonical_splits(spark, {n: str(tmp_path / f"{n}.json") for n in ("train", "val")}, 5)
 
 
-def test_components_of_a_random_graph(spark):
+@pytest.mark.parametrize("alone", [0, 10**4])
+def test_components_of_a_random_graph(spark, alone):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (190, 2))] + [(k, k + 1) for k in range(400, 520)] + [(7, 7)]
     group = list(range(600))
@@ -115,7 +116,7 @@ def test_components_of_a_random_graph(spark):
     for a, b in edges:
         x, y = find(a), find(b)
         group[max(x, y)] = min(x, y)
-    got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long"), one_task_edges=alone).collect()}
     want = {v: find(v) for a, b in edges if a != b for v in (a, b)}
     assert got == want
 
