@@ -96,11 +96,20 @@ ORACLE_SQL = {
     "op2_line_dedup": r"""
         WITH w AS (
             SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents
+        ), l AS (
+            SELECT doc_id, lines, pos, length(lines[pos]) AS a, length(lines[pos + 1]) AS b, length(lines[pos + 2]) AS c
+            FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS pos FROM w)
+        ), n AS (
+            SELECT doc_id, lines, pos, CASE WHEN a >= 40 THEN 1 WHEN a + b >= 40 THEN 2 WHEN a + b + c >= 40 THEN 3 ELSE 4 END AS n FROM l
+        ), windows AS (
+            SELECT doc_id, lines, pos, n FROM n WHERE pos + n - 1 <= len(lines)
         ), runs AS (
-            SELECT doc_id, pos, least(2, len(lines)) AS n, md5(array_to_string(lines[pos:pos + 1], chr(10))) AS run, least(2, len(lines)) AS size
-            FROM (SELECT doc_id, lines, unnest(range(1, greatest(len(lines), 2))) AS pos FROM w WHERE len(lines) > 0)
+            SELECT * FROM windows UNION ALL
+            SELECT doc_id, lines, 1, len(lines) FROM w WHERE len(lines) > 0 AND doc_id NOT IN (SELECT doc_id FROM windows)
         ), later AS (
-            SELECT doc_id, pos, n FROM (SELECT *, row_number() OVER (PARTITION BY run, size ORDER BY doc_id, pos) AS k FROM runs) WHERE k > 1
+            SELECT doc_id, pos, n FROM (
+                SELECT doc_id, pos, n, row_number() OVER (PARTITION BY md5(array_to_string(lines[pos:pos + n - 1], chr(10))), n ORDER BY doc_id, pos) AS k FROM runs
+            ) WHERE k > 1
         ), gone AS (SELECT doc_id, list(DISTINCT l) AS ls FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS l FROM later) GROUP BY doc_id)
         SELECT doc_id, len(lines) AS n_lines, coalesce(len(ls), 0) AS n_removed,
             sha256(coalesce(array_to_string(list_filter(lines, lambda x, i: ls IS NULL OR NOT list_contains(ls, i)), chr(10)), '')) AS kept_sha256
