@@ -25,10 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmill.llm._words import Words, columns, mix, slices
-from reelmill.shared import bounded_batches, looked_up, stored
+from reelmill.shared import BROADCAST_BYTES, bounded_batches, looked_up, small, stored
 
-#: Side tables of up to this many rows (tens of bytes each) are broadcast; beyond it the join is a shuffled one.
-BROADCAST_ROWS = 1_000_000
 _NO_ID = -(1 << 63)
 _STEP = np.uint64(0xA0761D6478BD642F)
 _PIECE = "_m long, _c long, _d long, _t long, _start int, _n int"
@@ -97,10 +95,6 @@ def _scan_edges(rows: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(scan, "_m long, _e long, _d long, _t long, _start int")
 
 
-def _sized(df: DataFrame, rows: int, broadcast_rows: int, hint: str = "merge") -> DataFrame:
-    return F.broadcast(df) if rows <= broadcast_rows else df.hint(hint)
-
-
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Overlapping and touching spans of a text become one."""
     for batch in batches:
@@ -119,23 +113,22 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(starts, kind), pa.array(ends, kind)], names=["_d", "_t", "_starts", "_ends"])
 
 
-def repeated_spans(rows: DataFrame, window: int, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def repeated_spans(rows: DataFrame, window: int, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(_d, _t, _starts, _ends): for each text with any, the spans of words that edges of an earlier document cover."""
     span = lambda df: df.select("_d", "_t", "_start", (F.col("_start") + F.col("_n") + (window - 1)).alias("_end"))
     met = _scan_pieces(rows, window, False).groupBy("_m").agg(F.min("_d").alias("_first"), F.max("_d").alias("_last"), F.min("_c").alias("_lo"), F.max("_c").alias("_hi"))
     repeated = stored(met.where("_first < _last").select("_m", "_first", (F.col("_lo") != F.col("_hi")).alias("_branches")), "minimizers")
-    pieces = _scan_pieces(rows, window, True).join(_sized(repeated, repeated.count(), broadcast_rows), "_m")
+    pieces = _scan_pieces(rows, window, True).join(small(repeated, broadcast_bytes, "merge"), "_m")
     pieces = stored(pieces.where("_branches or _d > _first"), "pieces")
     straight = span(pieces.where("not _branches"))
     branching = pieces.where("_branches").drop("_first")
     firsts = branching.groupBy("_m", "_c").agg(F.min("_d").alias("_first"))
-    branching = stored(looked_up(branching, firsts, ["_m", "_c"], "firsts", broadcast_rows=broadcast_rows), "branching")
+    branching = stored(looked_up(branching, firsts, ["_m", "_c"], "firsts", broadcast_bytes=broadcast_bytes), "branching")
     copies = span(branching.where("_d > _first"))
-    wanted = branching.where("_d = _first").groupBy("_d", "_t").agg(F.collect_list("_start").alias("_starts"))
-    size = branching.where("_d = _first").count()
-    edges = stored(_scan_edges(rows.join(_sized(wanted, size, broadcast_rows, "shuffle_hash"), ["_d", "_t"]).select("_d", "_t", "_text", "_starts"), window), "edges")
+    wanted = stored(branching.where("_d = _first").groupBy("_d", "_t").agg(F.collect_list("_start").alias("_starts")), "wanted")
+    edges = stored(_scan_edges(rows.join(small(wanted, broadcast_bytes, "shuffle_hash"), ["_d", "_t"]).select("_d", "_t", "_text", "_starts"), window), "edges")
     heads = edges.groupBy("_m", "_e").agg(F.min("_d").alias("_first"), F.max("_d").alias("_last")).where("_first < _last").drop("_last")
-    single = span(looked_up(edges, heads, ["_m", "_e"], "heads", broadcast_rows=broadcast_rows).where("_d > _first").withColumn("_n", F.lit(1)))
+    single = span(looked_up(edges, heads, ["_m", "_e"], "heads", broadcast_bytes=broadcast_bytes).where("_d > _first").withColumn("_n", F.lit(1)))
     spans = straight.unionByName(copies).unionByName(single)
     by_text = spans.groupBy("_d", "_t").agg(F.collect_list(F.struct("_start", "_end")).alias("_spans"))
     return stored(by_text.mapInArrow(_merged, "_d long, _t long, _starts array<int>, _ends array<int>"), "spans")
@@ -159,19 +152,19 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids, *more], names=["_id", "n_words", "n_removed", "kept_text"])
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per row of docs: id, n_words, n_removed, kept_text (the words that stay, joined by one space).
 
     A word goes if it lies in a run of `window` words of its text that also starts in a text with a smaller id; runs
     are compared as they stand in the input. A run that repeats only inside one document stays. Null and empty texts
-    have no words; a null id counts as smaller than any other; rows with one id are told apart by their text and
+    have no words; ids are whole numbers (others are cast to long); a null id counts as smaller than any other; rows with one id are told apart by their text and
     never remove each other's words. An empty table gives no rows. Other columns of docs are ignored.
     """
     bounded_batches(docs.sparkSession)
     rows = _rows(docs, id_col, text_col)
-    spans = repeated_spans(rows, window, broadcast_rows)
+    spans = repeated_spans(rows, window, broadcast_bytes)
     text = F.col(text_col).cast("string")
     whole = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_d"), F.xxhash64(text).alias("_t"), text.alias("_text"))
-    whole = whole.join(_sized(spans, spans.count(), broadcast_rows, "shuffle_hash"), ["_d", "_t"], "left").select("_id", "_text", "_starts", "_ends")
+    whole = whole.join(small(spans, broadcast_bytes, "shuffle_hash"), ["_d", "_t"], "left").select("_id", "_text", "_starts", "_ends")
     kind = whole.schema["_id"].dataType.simpleString()
     return whole.mapInArrow(_kept, f"_id {kind}, n_words long, n_removed long, kept_text string").withColumnRenamed("_id", id_col)

@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelmill.llm import exact_dedup, line_dedup, near_dedup, substring_dedup
 from tests.llm.helpers import AWKWARD, corpus, lower, table, words_of
@@ -31,9 +32,9 @@ def exact_rows(rows):
     return sorted((i, max(groups[lower(t)]), len(groups[lower(t)]), i == max(groups[lower(t)]), sha(lower(t))) for i, t in rows)
 
 
-@pytest.mark.parametrize("broadcast", [10**6, 0])
+@pytest.mark.parametrize("broadcast", [10**6, 600, 0])
 def test_exact_dedup_is_brute_force(docs, broadcast):
-    assert sorted(map(tuple, exact_dedup.exact_dedup(docs, broadcast_words=broadcast).collect())) == exact_rows(ROWS)
+    assert sorted(map(tuple, exact_dedup.exact_dedup(docs, broadcast_bytes=broadcast).collect())) == exact_rows(ROWS)
 
 
 def test_exact_dedup_whole_rows_empty_and_null_ids(spark, docs, empty):
@@ -43,6 +44,8 @@ def test_exact_dedup_whole_rows_empty_and_null_ids(spark, docs, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
     got = exact_dedup.exact_dedup(table(spark, [(None, "a"), (5, "A"), (None, "b")])).collect()
     assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["kept"]) for r in got) == [("5", "5", True), ("None", "5", False), ("None", "None", True)]
+    kept = exact_dedup.deduplicated(table(spark, [(None, "a"), (5, "A"), (None, "b"), (6, "c"), (6, "a")])).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == [("6", "a"), ("6", "c"), ("None", "b")]
 
 
 def substring_rows(rows, window):
@@ -67,7 +70,7 @@ def substring_rows(rows, window):
 def test_substring_dedup_is_brute_force(docs, window, broadcast):
     want = substring_rows(ROWS, window)
     assert any(r[2] for r in want)
-    assert sorted(map(tuple, substring_dedup.substring_dedup(docs, window=window, broadcast_rows=broadcast).collect())) == want
+    assert sorted(map(tuple, substring_dedup.substring_dedup(docs, window=window, broadcast_bytes=broadcast).collect())) == want
 
 
 def test_substring_dedup_branches_at_shared_words(spark):
@@ -87,30 +90,48 @@ def test_substring_dedup_empty(empty):
     assert substring_dedup.substring_dedup(empty).count() == 0
 
 
-def line_rows(rows, window):
+def line_rows(rows, lines, chars):
     runs = []
-    lines = {}
+    texts = {}
     for at, (i, t) in enumerate(rows):
         ls = t.split("\n") if t else []
-        lines[at] = ls
-        n = min(window, len(ls))
-        for k in range(max(len(ls) - window + 1, 1) if ls else 0):
-            runs.append((tuple(ls[k : k + n]), i, t, k, n, at))
+        texts[at] = ls
+        own = []
+        for k in range(len(ls)):
+            n = next((n for n in range(1, lines) if k + n <= len(ls) and sum(map(len, ls[k : k + n])) >= chars), lines)
+            if k + n <= len(ls):
+                own.append((k, n))
+        for k, n in own or ([(0, len(ls))] if ls else []):
+            runs.append((tuple(ls[k : k + n]), i, k, n, at))
     first = {}
-    for run, i, t, k, _, _ in runs:
+    for run, i, k, _, _ in runs:
         first[run] = min(first.get(run, (i, k)), (i, k))
     gone = defaultdict(set)
-    for run, i, t, k, n, at in runs:
+    for run, i, k, n, at in runs:
         if (i, k) > first[run]:
             gone[at].update(range(k, k + n))
-    return sorted((i, len(lines[at]), len(gone[at]), "\n".join(x for k, x in enumerate(lines[at]) if k not in gone[at])) for at, (i, t) in enumerate(rows))
+    return sorted((i, len(texts[at]), len(gone[at]), "\n".join(x for k, x in enumerate(texts[at]) if k not in gone[at])) for at, (i, t) in enumerate(rows))
 
 
-@pytest.mark.parametrize(("window", "broadcast"), [(2, 10**6), (2, 0), (1, 10**6), (4, 10**6)])
-def test_line_dedup_is_brute_force(docs, window, broadcast):
-    want = line_rows(ROWS, window)
+#: Repeats of one long line, of short lines in a row, inside one text, between different neighbours, and a text of one line very often.
+LINED = [
+    (2000, "a\nb\nc\nd\ne\nf"), (2001, "x\nb\nc\nd\ne\ny"), (2002, "z\n" + "long line " * 9 + "\nz2"), (2003, "q\n" + "long line " * 9 + "\nq2"), (2004, "a\nb\nc\nd\nother\na\nb\nc\nd"),
+    (2005, "b\nc"), (2006, "b\nc"), (2007, "\n\n\n\n\n"), (2008, "again\n" * 20_000), (2009, "\n" + "twenty characters..." + "\n" + "twenty characters..." + "\nend"), (2010, "twenty characters...\ntwenty characters..."),
+]
+
+
+@pytest.mark.parametrize(("lines", "chars", "broadcast"), [(4, 40, 10**6), (4, 40, 0), (2, 10**6, 10**6), (1, 10**6, 10**6)])
+def test_line_dedup_is_brute_force(spark, lines, chars, broadcast):
+    want = line_rows(ROWS + LINED, lines, chars)
     assert any(r[2] for r in want)
-    assert sorted(map(tuple, line_dedup.line_dedup(docs, window=window, broadcast_rows=broadcast).collect())) == want
+    assert sorted(map(tuple, line_dedup.line_dedup(table(spark, ROWS + LINED), lines=lines, chars=chars, broadcast_bytes=broadcast).collect())) == want
+
+
+def test_line_dedup_keeps_only_minima(spark):
+    rng = random.Random(8)
+    keyed = line_dedup._keyed(table(spark, [(k, "\n".join(f"l{rng.randrange(10**9)}" for _ in range(400))) for k in range(5)]), "doc_id", "text")
+    windowed = line_dedup._windowed(line_dedup._hashed(keyed), 4, 10**6, False).select(F.size("_w").alias("n"), F.size(line_dedup._minima()).alias("m")).collect()
+    assert all(r["n"] == 397 and r["m"] < 0.5 * r["n"] for r in windowed)  # two of five lines are expected
 
 
 def test_line_dedup_whole_rows(docs, empty):
@@ -118,7 +139,7 @@ def test_line_dedup_whole_rows(docs, empty):
     assert kept.columns == docs.columns
     got = {r["doc_id"]: r for r in kept.collect()}
     texts = dict(ROWS)
-    for i, n, gone, text in line_rows(ROWS, 2):
+    for i, n, gone, text in line_rows(ROWS, 4, 40):
         if n and gone == n:
             assert i not in got
         else:
@@ -154,7 +175,7 @@ def near_rows(rows, k, percent):
 def test_near_dedup_is_brute_force(docs, k, percent, broadcast):
     want = near_rows(ROWS, k, percent)
     assert sum(not r[3] for r in want) > 5
-    assert sorted(map(tuple, near_dedup.near_dedup(docs, k=k, percent=percent, broadcast_rows=broadcast).collect())) == want
+    assert sorted(map(tuple, near_dedup.near_dedup(docs, k=k, percent=percent, broadcast_bytes=broadcast).collect())) == want
 
 
 def test_near_dedup_of_a_large_group_with_small_tiles(spark, monkeypatch):
@@ -171,6 +192,29 @@ def test_near_dedup_of_a_large_group_with_small_tiles(spark, monkeypatch):
     assert sorted(map(tuple, near_dedup.near_dedup(table(spark, rows), k=3, percent=85).collect())) == near_rows(rows, 3, 85)
 
 
+def test_near_dedup_of_texts_under_one_id(spark):
+    rows = [(1, "a b c d e f g"), (5, "a b c d e f g"), (5, "other words than those above here"), (None, "other words than those above here")]
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_dedup(table(spark, rows)).collect()}
+    assert got == {(1, 3, 1, True), (5, 3, 1, False), (5, 2, None, False), (None, 2, None, True)}
+
+
+def test_near_dedup_of_chains_and_stragglers(spark, monkeypatch):
+    """Texts that share keys with a group but are linked to few of it, or to none."""
+    monkeypatch.setattr(near_dedup, "TILE_CLASSES", 3)
+    monkeypatch.setattr(near_dedup, "VISITOR_SHINGLES", 300)
+    rng = random.Random(13)
+    w = [f"b{k}" for k in range(90)]
+    rows = []
+    for i in range(60):
+        rows.append((i, " ".join(w)))
+        for _ in range(rng.choice([1, 2, 5, 9])):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+    rng.shuffle(rows)
+    want = near_rows(rows, 3, 85)
+    assert 5 < len({r[2] for r in want}) < 55
+    assert sorted(map(tuple, near_dedup.near_dedup(table(spark, rows), k=3, percent=85).collect())) == want
+
+
 def test_near_dedup_whole_rows_and_empty(docs, empty):
     kept = near_dedup.deduplicated(docs)
     assert kept.columns == docs.columns
