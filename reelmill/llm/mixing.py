@@ -1,84 +1,119 @@
 """Mixing sources to target weights: a Pfair schedule of their blocks.
 
-A weight is a whole number of slots in a period of PERIOD slots. Block i of a source with c slots is released at
-floor(i * PERIOD / c) and has to be placed by ceil((i + 1) * PERIOD / c); earliest-deadline-first over the released
-blocks meets every deadline when the slots of all sources add up to the period, so at any slot each source is less
-than one block away from its share. All weights come out even at the end of a period: the schedule repeats, one
-period of it is all that is ever simulated, and a block's slot follows from its number alone.
-
-Documents are cut into blocks by a running sum of their sizes. The sums are taken over chunks of ids and then inside
-each chunk, so a source with a third of all rows is spread over as many tasks as it has chunks.
+A source has a weight w, its share of the mixture's blocks. Its block i is released at floor(i / w) and has to be
+placed by ceil((i + 1) / w); earliest-deadline-first over the released blocks meets every deadline, as the shares add
+up to one, so at any slot each source is less than one block away from its weight. Releases and deadlines are worked
+out in whole numbers from the weights themselves, so nothing is rounded and no deviation adds up, however long the
+mixture and however many or small the sources.
+
+The order of the blocks is one sequence, and one task makes it: it holds an entry for each source and hands on
+each block's slot as it goes, about half a million a second; at 64 KB a block that is some half a minute for a TB.
+Everything else, the sizes, the sums that cut documents into blocks and the joins, is distributed.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
+from math import lcm
 
-import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmill.shared import stored
+from reelmill.shared import BROADCAST_BYTES, looked_up, small, stored
 
-PERIOD = 10_000
-#: Where no weights are given: a source's size to this power.
+#: Where no weights are given: a source's blocks to this power.
 ALPHA = 0.8
-#: Characters in a block, and ids in a chunk of the running sum.
-BLOCK_CHARS, CHUNK_IDS = 65_536, 4096
-#: More sources than that have no whole slot each; the tables of a period are bounded by it.
-MAX_SOURCES = 5000
+#: Characters in a block, and rows in a chunk of the running sum.
+BLOCK_CHARS, CHUNK_ROWS = 65_536, 20_000
 NO_SOURCE = "\x00none"
+_NO_ID = -(1 << 63)
 
 
-def apportion(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Whole slots with the period as their sum, one at least for each source: largest remainders, ties by name."""
-    if not weights:
-        return {}
-    if len(weights) > min(MAX_SOURCES, period):
-        raise ValueError(f"{len(weights)} sources; at most {min(MAX_SOURCES, period)} fit a period")
-    if any(not w > 0 for w in weights.values()):
+def whole_weights(weights: list[float]) -> list[int]:
+    """Whole numbers in exactly the given proportions."""
+    if any(not 0 < w < float("inf") for w in weights):
         raise ValueError("every weight has to be positive")
-    names, total = sorted(weights), sum(weights.values())
-    free = period - len(names)
-    exact = {s: weights[s] / total * free for s in names}
-    slots = {s: 1 + int(exact[s]) for s in names}
-    for s in sorted(names, key=lambda s: (-(exact[s] - int(exact[s])), s))[: period - sum(slots.values())]:
-        slots[s] += 1
-    return slots
-
-
-def schedule(slots: dict[str, int], period: int = PERIOD) -> dict[str, list[int]]:
-    """The slot of each block of one period: among the released blocks the one with the earliest deadline, ties by name."""
-    deadline = lambda s, i: -(-(i + 1) * period // slots[s])
-    out = {s: [] for s in slots}
-    waiting = [(0, s) for s in sorted(slots)]  # by release
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str]] = []
-    for slot in range(period):
+    exact = [Fraction(w) for w in weights]
+    scale = lcm(*(w.denominator for w in exact)) if exact else 1
+    return [int(w * scale) for w in exact]
+
+
+def schedule(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(source, its block, release, deadline, slot) of slot after slot, until each source has placed all of its blocks once.
+
+    Among the released blocks the one with the earliest deadline is placed, of several the one of the first source.
+    A source that has placed all of its blocks goes on: blocks[s] and more are its second turn.
+    """
+    share = whole_weights(weights)
+    total, left = sum(share), sum(n > 0 for n in blocks)
+    placed = [0] * len(share)
+    waiting = [(0, s) for s in range(len(share))]  # by release
+    ready: list[tuple[int, int, int]] = []
+    slot = 0
+    while left:
         while waiting and waiting[0][0] <= slot:
-            _, s = heapq.heappop(waiting)
-            heapq.heappush(ready, (deadline(s, len(out[s])), s))
-        _, s = heapq.heappop(ready)
-        out[s].append(slot)
-        if (i := len(out[s])) < slots[s]:
-            heapq.heappush(waiting, (max(i * period // slots[s], slot + 1), s))
-    return out
+            release, s = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(placed[s] + 1) * total // share[s]), s, release))
+        deadline, s, release = heapq.heappop(ready)
+        yield s, placed[s], release, deadline, slot
+        placed[s] += 1
+        left -= placed[s] == blocks[s]
+        heapq.heappush(waiting, (placed[s] * total // share[s], s))
+        slot += 1
+
+
+def tempered(blocks: list[int], alpha: float) -> list[float]:
+    """Weights by number of blocks to the power alpha: under 1 small sources gain."""
+    return [float(n) ** alpha for n in blocks]
+
+
+_SLOTS = "_s string, epoch long, _block long, release long, deadline long, slot long"
+
 
+def _slots(sources: DataFrame, alpha: float | None, repeat: bool) -> DataFrame:
+    """One row for each placing of a block, from (_s, _blocks, _w); the weights are those of _w, or tempered if alpha is given."""
 
-def tempered(sizes: dict[str, int], alpha: float) -> dict[str, float]:
-    """Weights by size to the power alpha: under 1 small sources gain."""
-    return {s: float(max(n, 1)) ** alpha for s, n in sizes.items()}
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True))
+        names, blocks = [r[0] for r in rows], [r[1] for r in rows]
+        weights = tempered(blocks, alpha) if alpha is not None else [r[2] for r in rows]
+        out: list[tuple] = []
 
+        def batch() -> pa.RecordBatch:
+            cols = list(zip(*out, strict=True))
+            kinds = [pa.string()] + [pa.int64()] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in _SLOTS.split(", ")])
 
-def _blocks(rows: DataFrame, block_chars: int) -> DataFrame:
-    """Adds _block, the number of the block of its source in which a document starts."""
-    rows = rows.withColumn("_chunk", F.expr(f"_d div {CHUNK_IDS}"))
-    chunks = rows.groupBy("_s", "_chunk").agg(F.sum("_size").alias("_sum"))
+        for s, k, release, deadline, slot in schedule(weights, blocks):
+            if repeat or k < blocks[s]:
+                out.append((names[s], *divmod(k, blocks[s]), release, deadline, slot))
+            if len(out) == 50_000:
+                yield batch()
+                out.clear()
+        if out:
+            yield batch()
+
+    return sources.select("_s", "_blocks", "_w").coalesce(1).mapInArrow(plan, _SLOTS)
+
+
+def _blocks(rows: DataFrame, n: int, block_chars: int) -> DataFrame:
+    """(_d, _tie, _s, _block): the number of the block of its source in which a document starts.
+
+    Rows are dealt into chunks by ranges of (source, id, text, row), so chunks are even whatever the ids look like and
+    however many rows are alike; sums go over the chunks of a source first, then inside each chunk.
+    """
+    key = ["_s", "_d", "_tie", "_n"]
+    chunks = rows.repartitionByRange(max(1, -(-n // CHUNK_ROWS)), *key).withColumn("_chunk", F.spark_partition_id())
+    chunks = stored(chunks, "chunks")
+    sums = chunks.groupBy("_s", "_chunk").agg(F.sum("_size").alias("_sum"))
     before = Window.partitionBy("_s").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = chunks.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
-    inside = Window.partitionBy("_s", "_chunk").orderBy("_d", "_tie").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_sofar", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-    return rows.join(chunks, ["_s", "_chunk"]).withColumn("_block", F.expr(f"(_base + _sofar) div {block_chars}")).drop("_chunk", "_base", "_sofar")
+    sums = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    inside = Window.partitionBy("_s", "_chunk").orderBy(*key[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    sofar = chunks.withColumn("_sofar", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
+    return looked_up(sofar, sums, ["_s", "_chunk"], "bases").select("_d", "_tie", "_n", "_s", F.expr(f"(_base + _sofar) div {block_chars}").alias("_block"))
 
 
 def mix(
@@ -90,63 +125,54 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     block_chars: int = BLOCK_CHARS,
-    period: int = PERIOD,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row for each placing of a document: id, source, epoch, block, release, deadline, slot, place.
 
     Rows sorted by (slot, place, id) are the mixture; place is a document's place among those of its block. weights
-    gives a source's share of the blocks (its size to the power alpha where none is given; a source that weights
+    gives a source's share of the blocks (its blocks to the power alpha where none is given; a source that weights
     leaves out makes an error). The mixture ends when every source has been placed whole: with repeat, shorter
-    sources then begin again (epoch 1, 2, ...), so the shares hold to the end; without it their slots stay empty.
-    No document is left out. Empty and null texts count as one character, a null source is a source, null ids come
-    first, ties are ordered by text; an empty table gives no rows. Other columns of docs are ignored.
+    sources begin again (epoch 1, 2, ...), so the shares hold to the end; without it their slots stay empty.
+    No document is left out. Empty and null texts count as one character, a null source is a source, ids are whole
+    numbers (others are cast to long), null ids come first, ties are ordered by text; an empty table gives no rows.
+    Other columns of docs are ignored.
     """
+    spark = docs.sparkSession
     text, id_ = F.col(text_col).cast("string"), F.col(id_col)
     kind = docs.schema[id_col].dataType
-    rows = docs.select(F.coalesce(id_.cast("long"), F.lit(-(1 << 63))).alias("_d"), F.coalesce(F.col(source_col).cast("string"), F.lit(NO_SOURCE)).alias("_s"), F.greatest(F.coalesce(F.length(text), F.lit(1)), F.lit(1)).cast("long").alias("_size"), F.xxhash64(text).alias("_tie"))
-    rows = stored(_blocks(stored(rows, "sized"), block_chars), "blocks")
-    # One row for each source: names are bounded by MAX_SOURCES, which limit() lets be checked before anything is fetched.
-    known = {r["_s"]: r for r in rows.groupBy("_s").agg(F.sum("_size").alias("n"), (F.max("_block") + 1).alias("blocks")).limit(MAX_SOURCES + 1).collect()}
-    shares = {s: float(weights[s]) for s in known} if weights is not None else tempered({s: r["n"] for s, r in known.items()}, alpha)
-    slots = apportion(shares, period)
-    table = schedule(slots, period) if slots else {}
-    slot_of = lambda s, g: g // slots[s] * period + table[s][g % slots[s]]
-    end = 1 + max((slot_of(s, r["blocks"] - 1) for s, r in known.items()), default=0)
-
-    def placed(s: str) -> int:
-        """How many blocks a source has before the end."""
-        return end // period * slots[s] + int(np.searchsorted(table[s], end % period))
-
-    spark = docs.sparkSession
-    per_source = spark.createDataFrame([(s, slots[s], r["blocks"], placed(s) if repeat else r["blocks"]) for s, r in known.items()], "_s string, _c long, _blocks long, _placed long")
-    per_block = spark.createDataFrame([(s, k, at) for s in table for k, at in enumerate(table[s])], "_s string, _k long, _at long")
-    out = rows.join(F.broadcast(per_source), "_s")
-    out = out.withColumn("epoch", F.explode(F.expr("sequence(0L, greatest(0L, (_placed - 1 - _block) div _blocks))")))
-    out = out.withColumn("_g", F.expr("epoch * _blocks + _block")).withColumn("_k", F.expr("_g % _c"))
-    out = out.join(F.broadcast(per_block), ["_s", "_k"])
-    turn = F.expr(f"(_g div _c) * {period}")
-    place = F.row_number().over(Window.partitionBy("_s", "_g").orderBy("_d", "_tie")) - 1
+    rows = docs.select(F.coalesce(id_.cast("long"), F.lit(_NO_ID)).alias("_d"), F.coalesce(F.col(source_col).cast("string"), F.lit(NO_SOURCE)).alias("_s"), F.greatest(F.coalesce(F.length(text), F.lit(1)), F.lit(1)).cast("long").alias("_size"), F.xxhash64(text).alias("_tie"))
+    rows = stored(rows.withColumn("_n", F.monotonically_increasing_id()), "sized")
+    rows = stored(_blocks(rows, rows.count(), block_chars), "blocks")
+    # A block in which no document starts (one document is longer than it) has a slot all the same.
+    sources = rows.groupBy("_s").agg((F.max("_block") + 1).alias("_blocks")).withColumn("_w", F.lit(None).cast("double"))
+    if weights is not None:
+        given = spark.createDataFrame([(NO_SOURCE if s is None else s, float(w)) for s, w in weights.items()], "_s string, _w double")
+        sources = stored(sources.drop("_w").join(given, "_s", "left"), "sources")
+        if missing := sources.where("_w is null").first():
+            raise ValueError(f"no weight for source {missing['_s']!r}")
+    slots = _slots(sources, alpha if weights is None else None, repeat)
+    out = rows.join(small(stored(slots, "slots"), broadcast_bytes), ["_s", "_block"])
+    place = F.row_number().over(Window.partitionBy("_s", "slot").orderBy("_d", "_tie", "_n")) - 1
     return out.select(
-        F.when(F.col("_d") != -(1 << 63), F.col("_d")).cast(kind).alias(id_col),
+        F.when(F.col("_d") != _NO_ID, F.col("_d")).cast(kind).alias(id_col),
         F.when(F.col("_s") != NO_SOURCE, F.col("_s")).alias(source_col),
         "epoch",
         F.col("_block").alias("block"),
-        (turn + F.expr(f"(_k * {period}) div _c")).alias("release"),
-        (turn + F.expr(f"((_k + 1) * {period} + _c - 1) div _c")).alias("deadline"),
-        (turn + F.col("_at")).alias("slot"),
+        "release",
+        "deadline",
+        "slot",
         place.cast("long").alias("place"),
     )
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 1_000_000, **how) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", broadcast_bytes: int = BROADCAST_BYTES, **how) -> DataFrame:
     """The rows of docs in the order of the mixture, in files that follow each other; repeated ones once for each epoch.
 
     Rows that share an id go where the first of them is placed.
     """
-    key = lambda df: F.coalesce(df[id_col].cast("long"), F.lit(-(1 << 63)))
-    placed = mix(docs, id_col=id_col, **how)
-    placed = stored(placed.groupBy(key(placed).alias("_d"), "epoch").agg(F.min(F.struct("slot", "place")).alias("_p")), "placed")
-    placed = F.broadcast(placed) if placed.count() <= broadcast_rows else placed.hint("shuffle_hash")
+    key = lambda df: F.coalesce(df[id_col].cast("long"), F.lit(_NO_ID))
+    placed = mix(docs, id_col=id_col, broadcast_bytes=broadcast_bytes, **how)
+    placed = placed.groupBy(key(placed).alias("_d"), "epoch").agg(F.min(F.struct("slot", "place")).alias("_p"))
+    placed = small(stored(placed.select("_d", "_p.*"), "placed"), broadcast_bytes, "shuffle_hash")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), key(docs).alias("_d"))
-    ordered = rows.join(placed.select("_d", "_p.*"), "_d").repartitionByRange("slot", "place").sortWithinPartitions("slot", "place", "_d")
-    return ordered.select("_row.*")
+    return rows.join(placed, "_d").repartitionByRange("slot", "place").sortWithinPartitions("slot", "place", "_d").select("_row.*")
