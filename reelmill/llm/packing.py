@@ -10,6 +10,7 @@ the block's result. Islands are tasks of their own; what passes between rounds i
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -26,11 +27,17 @@ CAPACITY = 2048
 #: Pieces in a block, on average; islands to a block; rounds with migration after each; packings to an island; children to a round.
 BLOCK, ISLANDS, ROUNDS, POPULATION, CHILDREN = 4000, 2, 2, 4, 6
 
+_LONG_RUN = re.compile(r"\s{20000}")
+#: Islands, or blocks, to a task; tasks at most.
+TASK_ISLANDS, MAX_TASKS = 8, 100_000
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
     The ids are those of the tokenizer file. Its ranks in the other library's form give the same ones several times
-    as fast; a text that could hold a special token is left to the tokenizer itself.
+    as fast; a text that could hold a special token, or has a run of white space so long that the other library's
+    pattern gives up, is left to the tokenizer itself.
     """
 
     def __init__(self, name: str):
@@ -44,7 +51,7 @@ class Encoder:
         self.part = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if "<|" in text:
+        if "<|" in text or _LONG_RUN.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return self.part.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
 
@@ -229,7 +236,8 @@ def pack(
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Every document gives at least one piece: null and empty texts are end_id alone, a text longer than capacity is cut
-    into whole sequences after a first piece of what is left over. Repeated rows are packed each for itself, null ids
+    into whole sequences after a first piece of what is left over. Texts of any length and of white space alone are
+    encoded whole. Repeated rows are packed each for itself, null ids
     stay null, an empty table gives no rows, other columns of docs are ignored.
     """
     bounded_batches(docs.sparkSession)
@@ -243,9 +251,11 @@ def pack(
     sized = dealt.select("_block", "_rank", "length").groupBy("_block").applyInArrow(_gathered, "_block long, _sizes binary")
     islands = F.explode(F.array(*(F.lit(k) for k in range(ISLANDS))))
     state = sized.select("_block", islands.alias("_island"), "_sizes", F.lit(None).cast("binary").alias("_labels"))
+    # The rows are few and small, but each is seconds of work, so their number of tasks is given and not left to sizes.
+    tasks = max(1, min(MAX_TASKS, -(-blocks * ISLANDS // TASK_ISLANDS)))
     for k in range(ROUNDS):
-        state = stored(state.groupBy("_block", "_island").applyInArrow(_island_round(capacity, k == ROUNDS - 1), _STATE), "islands")
-    best = state.groupBy("_block").applyInArrow(_best(capacity), "_block long, _labels binary")
+        state = stored(state.repartition(tasks, "_block", "_island").groupBy("_block", "_island").applyInArrow(_island_round(capacity, k == ROUNDS - 1), _STATE), "islands")
+    best = state.repartition(tasks, "_block").groupBy("_block").applyInArrow(_best(capacity), "_block long, _labels binary")
     head = best.select(*(F.lit(None).cast(made.schema[c].dataType).alias(c) for c in _KEYS), "_block", F.lit(0).alias("_rank"), "_labels")
     both = dealt.select(*_KEYS, "_block", "_rank", F.lit(None).cast("binary").alias("_labels")).unionByName(head)
     placed = both.groupBy("_block").applyInArrow(_place, f"_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
