@@ -154,7 +154,8 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = MAX_LABELLED, seed: int = 7) -> Model:
     """Word vectors from all texts; the network from at most max_labelled labelled ones outside the held-out third.
 
-    Null labels are left out; of several labels for one id the smallest counts. Without two kinds of label the model
+    Null labels are left out; of several labels for one id the smallest counts, of several texts the one with the
+    smallest hash. Without two kinds of label the model
     scores every text with the mean label (0.5 if there is none).
     """
     bounded_batches(docs.sparkSession)
@@ -169,7 +170,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([ids, y, pa.array([r.tobytes() for r in pooled(column, vectors)], pa.binary())], names=["_d", "_y", "_x"])
 
     kind = texts.schema["_d"].dataType.simpleString()
-    got = texts.join(F.broadcast(sample), "_d").select("_d", "_y", "_text").mapInArrow(features, f"_d {kind}, _y int, _x binary").toArrow().sort_by("_d")
+    # Of the texts of a repeated id one counts, so no more than max_labelled are fetched.
+    one = texts.join(F.broadcast(sample), "_d").groupBy("_d", "_y").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+    got = one.select("_d", "_y", "_text").mapInArrow(features, f"_d {kind}, _y int, _x binary").toArrow().sort_by("_d")
     y = np.array(got["_y"].to_pylist(), np.float64)
     if len(set(y)) < 2 or len(y) < 10:
         return Model(vectors, np.zeros(1), np.ones(1), (), 1.0, float(y.mean()) if len(y) else 0.5)
@@ -203,7 +206,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> DataFrame:
     """One row per row of docs: id, held_out, score, predicted.
 
-    A null id is not held out. An empty table gives no rows. Other columns, of docs or labels, are ignored.
+    Every text has a score, null and empty ones that of no words at all, and very long ones are read whole; equal texts
+    have equal scores, and rows that repeat are scored each for itself. A null id is not held out. An empty table gives no rows. Other columns, of docs or labels, are ignored.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     model = train(rows, labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")), "_id", "_text", "_label", max_labelled)
