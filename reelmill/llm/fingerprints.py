@@ -1,9 +1,12 @@
 """Document fingerprints: SimHash of weighted shingles, and a search for all fingerprints in a Hamming radius.
 
 Each distinct shingle of three words votes with its weight, 1 + log2 of its count, for or against each of 128 bits.
-Texts whose shingles are alike to 0.8 differ in about 20 bits, which is too far for block tables: a key of few enough
-bits to be met would be met by nearly all. So each distinct fingerprint of the query set is compared with each distinct
-fingerprint, which finds every pair in the radius. Tasks hold a bounded part of the query set at a time.
+Texts whose shingles are alike to 0.8 differ in about 20 bits. The bits are dealt by a fixed permutation into
+radius // (ERRORS + 1) + 1 blocks; by pigeonhole two fingerprints within the radius differ in at most ERRORS bits in one
+of them (a small radius has LEAST_BLOCKS blocks, and fewer errors). There is a table for each block: it names, for each value of the block's bits, the fingerprints of the query set
+that come within ERRORS bits of it. So one look into each table gives a superset of what is within the radius, which is
+then counted bit by bit. Tasks hold the tables of a bounded part of the query set at a time, and every distinct
+fingerprint of the corpus is looked up in them.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -18,19 +22,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmill.llm._words import Words, columns, mix as _mix, slices
-from reelmill.shared import bounded_batches, stored
+from reelmill.shared import bounded_batches, small, stored
 
 _U = np.uint64
 BITS, SHINGLE = 128, 3
 #: Bits in which the fingerprints of near copies may differ: 99 % of pairs at a similarity of 0.8 to below 1 are within.
 RADIUS = 24
-#: Fingerprints and queries compared at once; queries held by a task; comparisons to a task.
-TILE, HELD_QUERIES, TASK_PAIRS = (64, 4096), 1_000_000, 2_000_000_000
+#: Bits of a block that may differ; queries whose tables a task holds (about 5 KB each); fingerprints to a task.
+ERRORS, HELD_QUERIES, TASK_PRINTS = 2, 20_000, 200_000
+#: Blocks at least, so that a table has 2**16 places at most.
+LEAST_BLOCKS = 8
+#: Candidates counted at once.
+CANDIDATES = 2_000_000
 #: Texts of fewer words have votes of byte runs as well.
 SHORT = 24
 #: Rows in a run of successive ids, and runs at most (their bounds are held by the driver).
 RUN_ROWS, MAX_RUNS = 1000, 20_000
-BROADCAST_ROWS = 1_000_000
 _NO_ID = -(1 << 63)
 
 
@@ -126,46 +133,75 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 
 def _prints(k: int):
-    def work(ids: list, texts: list[str], after: list[str]) -> pa.RecordBatch:
-        new = [edited(a, b) for a, b in zip(texts, after, strict=True)]
-        own, changed, following = (simhash(pa.array(x, pa.string()), k) for x in (texts, new, after))
-        halves = [pa.array(np.ascontiguousarray(x[:, s]).view(np.int64)) for x in (own, changed) for s in range(2)]
-        sha = [hashlib.sha256(x.encode()).digest() for x in new]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(sha, pa.binary()), *halves, pa.array(likeness(own, changed)), pa.array(likeness(own, following))],
-            names=["_d", *(f.split()[0] for f in _FIELDS.split(", "))],
-        )
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row of the batch before: it waits for the next text
+        held = None  # the last row of the batch before, and its fingerprint: it waits for the next text
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 rows = list(zip(*(c.to_pylist() for c in columns(part, "_run", "_tail", "_d", "_text")), strict=True))
-                rows = ([held] if held else []) + rows
-                paired = [(r[2], r[3], s[3]) for r, s in zip(rows, rows[1:], strict=False) if not r[1]]
-                held = rows[-1]
-                if paired:
-                    yield work(*map(list, zip(*paired, strict=True)))
+                own = simhash(part.column(part.schema.get_field_index("_text")), k)
+                if held:
+                    rows, own = [held[0], *rows], np.vstack([held[1], own])
+                held = rows[-1], own[-1:]
+                of = np.array([i for i, r in enumerate(rows[:-1]) if not r[1]], np.int64)
+                if not len(of):
+                    continue
+                texts = [rows[i][3] for i in of]
+                new = [edited(t, rows[i + 1][3]) for i, t in zip(of, texts, strict=True)]
+                changed = simhash(pa.array(new, pa.string()), k)
+                halves = [pa.array(np.ascontiguousarray(x[:, h]).view(np.int64)) for x in (own[of], changed) for h in range(2)]
+                sha = [hashlib.sha256(x.encode()).digest() for x in new]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([rows[i][2] for i in of], pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(sha, pa.binary()), *halves, pa.array(likeness(own[of], changed)), pa.array(likeness(own[of], own[of + 1]))],
+                    names=["_d", *(f.split()[0] for f in _FIELDS.split(", "))],
+                )
 
     return scan
 
 
+def _blocks(h0: np.ndarray, h1: np.ndarray, blocks: int) -> list[tuple[np.ndarray, int]]:
+    """The value of each block of the permuted bits, and how many bits it has."""
+    bits = np.unpackbits(np.stack([h0, h1], 1).view(np.uint8), axis=1)
+    order = np.random.default_rng(3).permutation(BITS)
+    return [(bits[:, part].astype(np.int64) @ (1 << np.arange(len(part), dtype=np.int64)), len(part)) for part in np.array_split(order, blocks)]
+
+
+def _table(values: np.ndarray, width: int, errors: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the queries of each block value start, and the queries: all whose own value is within so many bits of it."""
+    near = [sum(1 << b for b in flips) for e in range(errors + 1) for flips in combinations(range(width), e)]
+    keys = (values[:, None] ^ np.array(near, np.int64)).ravel()
+    order = np.argsort(keys, kind="stable")
+    return np.searchsorted(keys[order], np.arange((1 << width) + 1)), (order // len(near)).astype(np.int32)
+
+
 def _within(q0: np.ndarray, q1: np.ndarray, radius: int):
     """A scan over fingerprints: how many of their rows lie in the radius of each of the given ones."""
+    blocks = max(radius // (ERRORS + 1) + 1, LEAST_BLOCKS)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not len(q0):
+            return
+        tables = [_table(values, width, radius // blocks) for values, width in _blocks(q0, q1, blocks)]
         near = np.zeros(len(q0), np.int64)
         for batch in batches:
-            a, b = (c.to_numpy().view(_U) for c in columns(batch, "_h0", "_h1"))
+            h0, h1 = (c.to_numpy().view(_U) for c in columns(batch, "_h0", "_h1"))
             (rows,) = (c.to_numpy() for c in columns(batch, "_rows"))
-            for i in range(0, len(a), TILE[0]):
-                for j in range(0, len(q0), TILE[1]):
-                    apart = np.bitwise_count(a[i : i + TILE[0], None] ^ q0[None, j : j + TILE[1]])
-                    # Most pairs differ in more bits than that in their first halves.
-                    p, q = np.divmod(np.flatnonzero(apart <= radius), apart.shape[1])
-                    hit = apart[p, q].astype(np.int64) + np.bitwise_count(b[i + p] ^ q1[j + q]) <= radius
-                    np.add.at(near, j + q[hit], rows[i + p[hit]])
+            found = [np.stack([start[v], start[v + 1]]) for (v, _), (start, _) in zip(_blocks(h0, h1, blocks), tables, strict=True)]
+            ends = np.cumsum(sum(b - a for a, b in found))
+            at = 0
+            while at < len(h0):  # so many fingerprints at a time that their candidates are bounded
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CANDIDATES, "right")))
+                pairs = []
+                for (first, last), (_, queries) in zip(found, tables, strict=True):
+                    n = last[at:to] - first[at:to]
+                    places = np.arange(n.sum()) + np.repeat(first[at:to] - (np.cumsum(n) - n), n)
+                    p, q = np.repeat(np.arange(at, to), n), queries[places]
+                    apart = np.bitwise_count(h0[p] ^ q0[q]) + np.bitwise_count(h1[p] ^ q1[q])
+                    hit = apart <= radius
+                    pairs.append(p[hit] * len(q0) + q[hit])
+                p, q = np.divmod(np.unique(np.concatenate(pairs)), len(q0))
+                np.add.at(near, q, rows[p])
+                at = to
         at = np.flatnonzero(near)
         yield pa.RecordBatch.from_arrays([pa.array(q0[at].view(np.int64)), pa.array(q1[at].view(np.int64)), pa.array(near[at])], names=["_h0", "_h1", "_near"])
 
@@ -176,7 +212,7 @@ def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, hel
     """(_h0, _h1, _near): for each fingerprint of queries, how many rows of prints lie within the radius."""
     asked = stored(queries.select("_h0", "_h1").distinct(), "asked")
     n = asked.count()
-    tasks = min(MAX_RUNS, max(prints.sparkSession.sparkContext.defaultParallelism, prints.count() * n // TASK_PAIRS))
+    tasks = min(MAX_RUNS, max(prints.sparkSession.sparkContext.defaultParallelism, prints.count() // TASK_PRINTS))
     distinct = prints.repartition(tasks, "_h0", "_h1").groupBy("_h0", "_h1").agg(F.count("*").alias("_rows"))
     parts = max(1, -(-n // held))
     distinct = stored(distinct, "distinct") if parts > 1 else distinct
@@ -194,6 +230,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     The next document is that with the next id (then text hash); the last one's is the first. near_docs is, for ids
     that query_every divides, the number of other rows whose fingerprint is within the radius, and null for the rest.
+    Ids are whole numbers (others are cast to long).
     Null texts are empty, texts without words have a fingerprint of zeros, equal texts have equal ones; a null id
     comes first and stays null; a single row is its own next; an empty table gives no rows. Other columns of docs are
     ignored.
@@ -204,8 +241,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_d"), F.xxhash64(text).alias("_tie"), text.alias("_text"))
     prints = stored(_pairs(rows).mapInArrow(_prints(k), f"_d long, {_FIELDS}"), "prints")
     asked = (F.col("_d") % query_every == 0) & (F.col("_d") != _NO_ID)
-    near = stored(near_counts(prints, prints.where(asked), radius), "near")
-    near = F.broadcast(near) if near.count() <= BROADCAST_ROWS else near
+    near = small(stored(near_counts(prints, prints.where(asked), radius), "near"))
     hex_of = lambda a, b: F.lower(F.concat(F.lpad(F.hex(a), 16, "0"), F.lpad(F.hex(b), 16, "0")))
     return prints.join(near, ["_h0", "_h1"], "left").select(
         F.when(F.col("_d") != _NO_ID, F.col("_d")).cast(kind).alias(id_col),
