@@ -9,7 +9,9 @@ part of it, and the rest is joined.
 
 Training is data-parallel over the whole corpus: in each round every task starts from the shared parameters, masks
 another MASK_EVERYth of the places of its texts (by hash), and takes Adagrad steps on them; the parameters are then
-averaged, weighted by the masked places. There are as many rounds as parts, so every place is a target once. What a task hands on is one set of parameters, and averaging adds them up in groups.
+averaged, weighted by the masked places. There are as many rounds as parts, so every place is a target once. Word ids
+are worked out once and written for all rounds. What a task hands on is one set of parameters, and averaging adds them
+up in groups.
 A document's score is the sum of the log-probabilities of all its words, each given both its sides.
 """
 
@@ -126,10 +128,10 @@ def _ids(words: Words, known: np.ndarray, h: np.ndarray | None = None) -> np.nda
     return spread[np.where(hit, at + HASHED, (h % _U(HASHED)).astype(np.int64))]
 
 
-def _contexts(words: Words, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """(places, 2 * REACH): the ids around; EDGE beyond the ends of a text."""
-    text = words.text_of()[places]
-    low, high = words.first[text], words.first[text + 1]
+def _contexts(first: np.ndarray, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """(places, 2 * REACH): the ids around; EDGE beyond the ends of a text (text i has the places first[i]:first[i + 1])."""
+    text = np.searchsorted(first, places, "right") - 1
+    low, high = first[text], first[text + 1]
     out = np.empty((len(places), 2 * REACH), np.int64)
     for k, far in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
         at = places + far
@@ -214,31 +216,56 @@ class Learner:
         self.places += n
 
 
-def _masked(words: Words, round_: int, h: np.ndarray | None = None) -> np.ndarray:
-    """The places that a round masks, by word and place in the text; MASK_EVERY rounds in a row mask each place once."""
+def _round_of(words: Words, h: np.ndarray | None = None) -> np.ndarray:
+    """The round that masks each place, by word and place in the text; MASK_EVERY rounds in a row mask each place once."""
     inside = np.arange(len(words)) - np.repeat(words.first[:-1], np.diff(words.first))
-    return np.flatnonzero(mix(inside.astype(_U) + (words.hashes() if h is None else h)) % _U(MASK_EVERY) == round_ % MASK_EVERY)
+    return (mix(inside.astype(_U) + (words.hashes() if h is None else h)) % _U(MASK_EVERY)).astype(np.uint8)
 
 
-def _trained(texts: DataFrame, known: np.ndarray, start: Parameters, round_: int) -> DataFrame:
-    """(task, block, weight, numbers): each task's parameters after its own texts."""
+def _binary(first: np.ndarray, values: np.ndarray) -> pa.Array:
+    """The values of each text as bytes."""
+    at = (first * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(values))])
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        learner = Learner(start)
+def _values(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all texts one after the other, and where each text starts."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    values = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
+    return values.view(kind), (at - at[0]) // np.dtype(kind).itemsize
+
+
+def tokenized(texts: DataFrame, known: np.ndarray) -> DataFrame:
+    """(_ids, _rounds): of each text the ids of its words and the rounds that mask them; written once for all rounds."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             (column,) = columns(batch, "_text")
             for at, to in slices(column, 1_000_000):
                 words = Words(column.slice(at, to - at))
-                if not len(words):
-                    continue
                 h = words.hashes()
-                ids, places = _ids(words, known, h), _masked(words, round_, h)
+                yield pa.RecordBatch.from_arrays([_binary(words.first, _ids(words, known, h).astype(np.uint16)), _binary(words.first, _round_of(words, h))], names=["_ids", "_rounds"])
+
+    return stored(texts.mapInArrow(scan, "_ids binary, _rounds binary"), "tokens")
+
+
+def _trained(tokens: DataFrame, start: Parameters, round_: int) -> DataFrame:
+    """(task, block, weight, numbers): each task's parameters after its own texts."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        learner = Learner(start)
+        for batch in batches:
+            column, rounds = columns(batch, "_ids", "_rounds")
+            for at, to in slices(column, 400_000):
+                ids, first = _values(column.slice(at, to - at), np.uint16)
+                places = np.flatnonzero(_values(rounds.slice(at, to - at), np.uint8)[0] == round_ % MASK_EVERY)
                 places = places[np.argsort(mix(places.astype(_U)), kind="stable")]
                 for k in range(0, len(places), STEP_PLACES):
                     chosen = places[k : k + STEP_PLACES]
-                    learner.learn(_contexts(words, ids, chosen), ids[chosen])
+                    learner.learn(_contexts(first, ids, chosen), ids[chosen].astype(np.int64))
         if learner.places:
             numbers = flat(learner.p).astype(np.float32)
             blocks = [numbers[k : k + BLOCK] for k in range(0, len(numbers), BLOCK)]
@@ -248,7 +275,7 @@ def _trained(texts: DataFrame, known: np.ndarray, start: Parameters, round_: int
                 names=["task", "block", "weight", "numbers"],
             )
 
-    return texts.mapInArrow(scan, "task long, block long, weight long, numbers binary")
+    return tokens.mapInArrow(scan, "task long, block long, weight long, numbers binary")
 
 
 def _mean(table: pa.Table) -> pa.Table:
@@ -282,8 +309,9 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, counts:
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(text_col).cast("string").alias("_text"))
     known, p = vocabulary(counted(texts) if counts is None else counts), fresh()
+    tokens = tokenized(texts, known)
     for k in range(rounds):
-        trained = stored(_trained(texts, known, p, k), "trained")
+        trained = stored(_trained(tokens, p, k), "trained")
         last = trained.agg(F.max("task")).first()[0]
         p = _averaged(trained, 1 + (last or 0)) or p
     return known, p
@@ -312,7 +340,7 @@ def _sums(docs: DataFrame, model: tuple[np.ndarray, Parameters], id_col: str, te
                     ids, text = _ids(words, known, h), words.text_of()
                     for k in range(0, len(ids), 50_000):
                         places = np.arange(k, min(k + 50_000, len(ids)))
-                        got = log_probabilities(p, _contexts(words, ids, places), ids[places])
+                        got = log_probabilities(p, _contexts(words.first, ids, places), ids[places])
                         total += np.bincount(text[places], got, to - at)
                     if held is not None:
                         other = ~_find(h, known)[1]
@@ -341,14 +369,19 @@ def _means(sums: DataFrame, id_col: str) -> DataFrame:
 def score(docs: DataFrame, model: tuple[np.ndarray, Parameters], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, n_words, log_likelihood (summed over all words), mean_log_likelihood (null without words).
 
-    Words outside the vocabulary have their slot's probability. Null and empty texts have no words and a sum of zero;
+    Words outside the vocabulary have the probability of their whole slot, which many share; lm_scores() gives each its own.
+    Null and empty texts have no words and a sum of zero;
     repeated rows have one score; an empty table gives no rows.
     """
     return _means(_sums(docs, model, id_col, text_col), id_col)
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_words: int = HELD_WORDS) -> DataFrame:
-    """Trains on all texts of docs and scores each of them as score() does, but each word with its own probability; other columns are ignored."""
+    """Trains on all texts of docs and scores each of them as score() does, but each word with its own probability.
+
+    Null and empty texts have no words, a sum of zero and no mean; equal texts have one score, and rows that repeat
+    are scored each for itself (and count as often in training); an empty table gives no rows. Other columns are ignored.
+    """
     bounded_batches(docs.sparkSession)
     counts = counted(docs.select(F.col(text_col).cast("string").alias("_text")))
     model = train(docs, text_col, counts=counts)
