@@ -2,7 +2,9 @@
 
 The dynamic program finds the cheapest segmentation of a value into dictionary words, dates, repeats, keyboard walks
 and brute-force spans; costs are log2 of the guesses that an attacker needs for a span. A value whose cheapest
-segmentation still costs many guesses is a secret although no fixed pattern names its shape.
+segmentation still costs many guesses is a secret although no fixed pattern names its shape. The dictionary is a fixed
+list of words that are frequent in passwords, and after it the most frequent words of the corpus itself, counted over
+all of its texts.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ import hashlib
 import math
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,8 +37,10 @@ CONTEXT = re.compile(
 )
 #: Values of fewer characters are no candidates, and a value is a secret from this cost on (log2 of guesses; 2**33 is about 10**10).
 MIN_VALUE, MIN_BITS = 6, 33.0
-#: The longest walk or sequence that counts as one span; repeats have no bound.
+#: Walks and sequences may end anywhere in their first so many characters, or where they end altogether.
 MAX_SPAN = 32
+#: Words that the corpus adds to the dictionary, and how long they may be.
+CORPUS_WORDS, WORD_LENGTHS = 20_000, (3, 20)
 
 # Frequent words in passwords, most frequent first (the rank is the cost), and the rows of a keyboard.
 WORDS = (
@@ -55,15 +60,24 @@ DATE = re.compile(
 )
 
 
-def _rank() -> dict[str, int]:
-    out: dict[str, int] = {}
-    for w in WORDS:
-        out.setdefault(w, len(out) + 1)
-    return out
+class Ranks:
+    """The rank of each word of a dictionary, and the length of the longest."""
+
+    def __init__(self, words: Iterable[str] = ()):
+        self.of: dict[str, int] = {}
+        for w in (*WORDS, *words):
+            self.of.setdefault(w, len(self.of) + 1)
+        self.longest = max(map(len, self.of))
+
 
+_RANKS = Ranks()
 
-_RANK = _rank()
-_LONGEST = max(map(len, _RANK))
+
+def corpus_words(texts: DataFrame, text_col: str = "text", words: int = CORPUS_WORDS) -> list[str]:
+    """The most frequent runs of the letters a-z in all texts, most frequent first: a list whose length no input changes."""
+    low, high = WORD_LENGTHS
+    found = texts.select(F.explode(F.split(F.lower(F.col(text_col).cast("string")), "[^a-z]+")).alias("w")).where(F.length("w").between(low, high))
+    return [r["w"] for r in found.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(words).select("w").collect()]
 
 
 def _neighbours() -> dict[str, set[str]]:
@@ -80,29 +94,46 @@ def _class_bits(c: str) -> float:
     return math.log2(next((n for test, n in _ALPHABETS if test(c)), 33))
 
 
-def _spans(v: str, low: str, plain: str, at: int) -> Iterator[tuple[int, float]]:
-    """(end, cost) of the patterns that start at a place of v; low and plain: v in lower case, and without substituted letters."""
-    n = len(v)
-    for to in range(at + 3, min(n, at + _LONGEST) + 1):
-        if rank := _RANK.get(plain[at:to]):
-            word = v[at:to]
-            shifts = 0 if word.islower() else 1 if word[1:].islower() or word.isupper() else to - at
-            yield to, math.log2(rank) + shifts + 2 * (plain[at:to] != low[at:to])
-    if m := DATE.match(v, at, min(n, at + 10)):
-        yield m.end(), math.log2(366) + math.log2(120) if m.end() - at > 4 else math.log2(120)
-    to = at + 1
-    while to < min(n, at + MAX_SPAN) and low[to] in _NEXT.get(low[to - 1], ()):
-        to += 1
-        if to - at >= 3:
-            turns = sum(ord(low[k + 1]) - ord(low[k]) != ord(low[k]) - ord(low[k - 1]) for k in range(at + 1, to - 1))
-            yield to, math.log2(len(_NEXT)) + (to - at - 1) * 0.5 + 2.0 * min(turns, 3) / 2
-    step = ord(v[at + 1]) - ord(v[at]) if at + 1 < n else 9
-    if abs(step) == 1:  # abc, 321
-        to = at + 2
-        while to < n and to - at < MAX_SPAN and ord(v[to]) - ord(v[to - 1]) == step:
-            to += 1
-        if to - at >= 3:
-            yield to, math.log2(36) + math.log2(to - at)
+def _runs(joined: list[bool]) -> list[int]:
+    """[at]: how many characters from a place on form one run, if joined[k] says that k and k + 1 go together."""
+    out = [1] * (len(joined) + 1)
+    for at in range(len(joined) - 1, -1, -1):
+        if joined[at]:
+            out[at] = out[at + 1] + 1
+    return out
+
+
+def _ends(at: int, run: int, max_span: int) -> Iterator[int]:
+    yield from range(at + 3, at + min(run, max_span) + 1)
+    if run > max_span:
+        yield at + run
+
+
+def _spans(v: str, ranks: Ranks = _RANKS, max_span: int = MAX_SPAN) -> Callable[[int], Iterator[tuple[int, float]]]:
+    """For a place of v the (end, cost) of all patterns that start there; every table behind it is linear in v."""
+    n, low = len(v), v.translate(_LOWER)
+    plain = low.translate(LEET)
+    step = [ord(b) - ord(a) for a, b in pairwise(v)]
+    walk = _runs([b in _NEXT.get(a, ()) for a, b in pairwise(low)])
+    count = _runs([k + 1 < len(step) and abs(s) == 1 and s == step[k + 1] for k, s in enumerate(step)])
+    low_step = [ord(b) - ord(a) for a, b in pairwise(low)]
+    turns = [0, 0, *accumulate(a != b for a, b in pairwise(low_step))]  # up to a place
+
+    def spans(at: int) -> Iterator[tuple[int, float]]:
+        for to in range(at + 3, min(n, at + ranks.longest) + 1):
+            if rank := ranks.of.get(plain[at:to]):
+                word = v[at:to]
+                shifts = 0 if word.islower() else 1 if word[1:].islower() or word.isupper() else to - at
+                yield to, math.log2(rank) + shifts + 2 * (plain[at:to] != low[at:to])
+        if m := DATE.match(v, at, min(n, at + 10)):
+            yield m.end(), math.log2(366) + math.log2(120) if m.end() - at > 4 else math.log2(120)
+        for to in _ends(at, walk[at], max_span):
+            yield to, math.log2(len(_NEXT)) + (to - at - 1) * 0.5 + min(turns[to - 1] - turns[at + 1], 3)
+        if at + 1 < n and abs(step[at]) == 1:  # abc, 321
+            for to in _ends(at, count[at] + 1, max_span):
+                yield to, math.log2(36) + math.log2(to - at)
+
+    return spans
 
 
 def _repeats(value: str) -> list[list[int]]:
@@ -117,17 +148,16 @@ def _repeats(value: str) -> list[list[int]]:
     return out
 
 
-def guess_bits(value: str) -> float:
+def guess_bits(value: str, ranks: Ranks = _RANKS, max_span: int = MAX_SPAN) -> float:
     """log2 of the guesses of the cheapest segmentation of a value; linear in its length."""
     n = len(value)
     least = [0.0] + [math.inf] * n
     repeats = _repeats(value)
-    low = value.translate(_LOWER)
-    plain = low.translate(LEET)
+    spans = _spans(value, ranks, max_span)
     for at in range(n):
         here = least[at]
         least[at + 1] = min(least[at + 1], here + _class_bits(value[at]))
-        for to, cost in _spans(value, low, plain, at):
+        for to, cost in spans(at):
             least[to] = min(least[to], here + cost + 1)
         for unit, run in enumerate(repeats, 1):  # the unit once, then how often
             if (times := 1 + run[at] // unit) > 1 and times * unit >= 3:
@@ -147,14 +177,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def guess_spans(text: str, min_bits: float = MIN_BITS) -> list[tuple[int, int, int]]:
+def guess_spans(text: str, min_bits: float = MIN_BITS, ranks: Ranks = _RANKS, max_span: int = MAX_SPAN) -> list[tuple[int, int, int]]:
     """The values in credential context that take at least 2**min_bits guesses."""
     if ":" not in text and "=" not in text and " is " not in text:
         return []
     return [
         (m.start(1), 3, m.end(1))
         for m in CONTEXT.finditer(text)
-        if m.end(1) - m.start(1) >= MIN_VALUE and guess_bits(m[1].rstrip(".")) >= min_bits
+        if m.end(1) - m.start(1) >= MIN_VALUE and guess_bits(m[1].rstrip("."), ranks, max_span) >= min_bits
     ]
 
 
@@ -162,33 +192,42 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bits: float = MIN_BITS) -> DataFrame:
+def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bits: float = MIN_BITS, words: int = CORPUS_WORDS, max_span: int = MAX_SPAN) -> DataFrame:
     """One row per row of docs: id, n_assign, n_access, n_hex, n_guess, base_sha256, spans.
 
-    Every whole text is scanned where it is read; nothing is shuffled. Null and empty texts have no spans; repeated
+    Every whole text is scanned where it is read; only the counts of words are shuffled, of which `words` are added to
+    the dictionary (0: none). Null and empty texts have no spans; repeated
     rows are each scanned; an empty table gives no rows; other columns of docs are ignored.
     """
 
+    bounded_batches(docs.sparkSession)
+    ranks = Ranks(corpus_words(docs, text_col, words) if words else ())
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
                 base = base_spans(text or "")
-                more = guess_spans(text or "", min_bits)
+                more = guess_spans(text or "", min_bits, ranks, max_span)
                 n = [sum(k == kind for _, k, _ in base) for kind in range(3)]
                 rows.append((*n, len(more), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(sorted(base + more))))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
             kinds = [pa.int64()] * 4 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["_id", "n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans"])
 
-    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(scan, f"_id {kind}, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string").withColumnRenamed("_id", id_col)
 
 
-def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]", min_bits: float = MIN_BITS) -> DataFrame:
-    """docs with every span of a secret replaced in its text, all other columns as they are."""
+def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]", min_bits: float = MIN_BITS, words: int = CORPUS_WORDS, max_span: int = MAX_SPAN) -> DataFrame:
+    """docs with every span of a secret replaced in its text, all other columns as they are.
+
+    Of overlapping spans the first is marked and the rest goes with it. Null texts stay null, empty ones empty, rows
+    that repeat are each redacted, an empty table gives no rows; columns of any other name pass through.
+    """
+    bounded_batches(docs.sparkSession)
+    ranks = Ranks(corpus_words(docs, text_col, words) if words else ())
 
     @F.pandas_udf("string")
     def clean(texts):
@@ -196,7 +235,7 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
             if not text:
                 return text
             out, at = [], 0
-            for start, _, end in sorted(base_spans(text) + guess_spans(text, min_bits)):
+            for start, _, end in sorted(base_spans(text) + guess_spans(text, min_bits, ranks, max_span)):
                 if start >= at:
                     out += [text[at:start], mark]
                 at = max(at, end)
