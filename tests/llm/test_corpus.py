@@ -1,9 +1,12 @@
 import os
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
+from itertools import islice
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reelmill.llm import line_dedup, mixing, near_dedup, packing, quality
 from tests.llm.helpers import AWKWARD, corpus, table
@@ -20,39 +23,94 @@ def docs(spark):
 # -- mixing ---------------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("weights", [{"a": 1.0}, {"a": 0.5, "b": 0.3, "c": 0.2}, {f"s{k}": 1.0 + k % 7 for k in range(60)}, {"x": 0.98, **{f"t{k}": 0.001 for k in range(20)}}])
-def test_schedule_stays_within_one_block(weights):
-    period = 500
-    slots = mixing.apportion(weights, period)
-    assert sum(slots.values()) == period and all(c >= 1 for c in slots.values())
-    table_ = mixing.schedule(slots, period)
-    assert sorted(x for s in table_.values() for x in s) == list(range(period))
-    for s, at in table_.items():
-        c = slots[s]
-        for i, slot in enumerate(at):
-            assert i * period // c <= slot < -(-(i + 1) * period // c)
-        done = np.searchsorted(at, np.arange(1, period + 1))
-        assert np.abs(done - np.arange(1, period + 1) * c / period).max() < 1
-
-
-def test_mixture_by_hand(spark):
-    rows = [(i, "x" * 10, "big" if i % 3 else "small") for i in range(90)]
-    got = mixing.mix(table(spark, rows), weights={"big": 1, "small": 1}, block_chars=20, period=10).collect()
-    assert {r["doc_id"] for r in got if r["epoch"] == 0} == set(range(90))
-    slots = mixing.apportion({"big": 1, "small": 1}, 10)
-    at = mixing.schedule(slots, 10)
-    blocks = {"big": 30, "small": 15}
-    end = max((g := blocks[s] - 1) // slots[s] * 10 + at[s][g % slots[s]] for s in slots) + 1
-    want = set()
-    for s in slots:
-        ids = [r[0] for r in rows if r[2] == s]
-        for g in range(1000):
-            slot = g // slots[s] * 10 + at[s][g % slots[s]]
-            if slot < end:
-                b = g % blocks[s]
-                want |= {(i, s, g // blocks[s], b, slot) for i in ids[2 * b : 2 * b + 2]}
+def exact(weights):
+    total = sum(map(Fraction, weights))
+    return [Fraction(w) / total for w in weights]
+
+
+def earliest_deadline_first(weights, slots):
+    """Slot by slot over all released blocks, with fractions."""
+    share, placed, out = exact(weights), [0] * len(weights), []
+    for slot in range(slots):
+        ready = [(-(-(placed[s] + 1) // w), s) for s, w in enumerate(share) if placed[s] // w <= slot]
+        s = min(ready)[1]
+        out.append((s, placed[s]))
+        placed[s] += 1
+    return out
+
+
+WEIGHTS = [[1.0], [0.5, 0.3, 0.2], [1.0 + k % 7 for k in range(60)], [0.9999] + [1e-6] * 100, [0.33336, 0.33333, 0.3333], [1e12, 3.7, 1e-9], [0.1] * 10]
+
+
+@pytest.mark.parametrize("weights", WEIGHTS)
+def test_schedule_stays_within_one_block_of_the_weights(weights):
+    share, slots = exact(weights), 30_000
+    blocks = [slots + 1] * len(weights)
+    placed = [0] * len(weights)
+    for slot, (s, i, release, deadline, at) in enumerate(islice(mixing.schedule(weights, blocks), slots)):
+        assert at == slot and i == placed[s] and release == i // share[s] and deadline == -(-(i + 1) // share[s])
+        assert release <= slot < deadline
+        placed[s] += 1
+        if slot % 97 == 0:
+            assert all(abs(n - w * (slot + 1)) < 1 for n, w in zip(placed, share))
+
+
+@pytest.mark.parametrize("weights", WEIGHTS)
+def test_schedule_is_earliest_deadline_first(weights):
+    got = [x[:2] for x in islice(mixing.schedule(weights, [10**6] * len(weights)), 400)]
+    assert got == earliest_deadline_first(weights, 400)
+
+
+def test_schedule_ends_when_every_source_is_whole():
+    got = [x[:2] for x in mixing.schedule([3.0, 1.0], [5, 4])]
+    assert got == earliest_deadline_first([3.0, 1.0], len(got)) and got[-1] == (1, 3) and (0, 4) in got
+    assert list(mixing.schedule([], [])) == []
+    for bad in (0.0, -1.0, float("inf"), float("nan")):
+        with pytest.raises(ValueError, match="positive"):
+            mixing.whole_weights([1.0, bad])
+
+
+def mixture_by_hand(rows, weights, block_chars, alpha=None, repeat=True):
+    """rows: (id, size, source); all as plain loops over one list."""
+    names = sorted({s for _, _, s in rows})
+    block, blocks = {}, {}
+    for s in names:
+        sofar = 0
+        for i, size, _ in sorted(r for r in rows if r[2] == s):
+            block[i] = sofar // block_chars
+            sofar += size
+            blocks[s] = block[i] + 1
+    w = [weights[s] if weights else float(blocks[s]) ** alpha for s in names]
+    out, done, slots = set(), set(), 1
+    while len(done) < len(names):
+        order = earliest_deadline_first(w, slots)
+        done = {s for s, k in order if k >= blocks[names[s]] - 1}
+        slots += 1
+    for slot, (s, k) in enumerate(order):
+        epoch, b = divmod(k, blocks[names[s]])
+        if repeat or not epoch:
+            out |= {(i, names[s], epoch, b, slot) for i, _, t in rows if t == names[s] and block[i] == b}
+    return out
+
+
+@pytest.mark.parametrize(("weights", "broadcast"), [({"big": 1, "small": 1}, 10**6), ({"big": 0.25, "small": 0.75}, 0), (None, 10**6)])
+def test_mixture_by_hand(spark, monkeypatch, weights, broadcast):
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 7)
+    rows = [(i * i * 1009, "x" * (1 + i % 13), "big" if i % 3 else "small") for i in range(90)]  # ids far apart
+    got = mixing.mix(table(spark, rows), weights=weights, block_chars=20, broadcast_bytes=broadcast).collect()
+    assert {r["doc_id"] for r in got if r["epoch"] == 0} == {r[0] for r in rows}
+    want = mixture_by_hand([(i, len(t), s) for i, t, s in rows], weights, 20, mixing.ALPHA)
     assert {(r["doc_id"], r["source"], r["epoch"], r["block"], r["slot"]) for r in got} == want and len(got) == len(want)
     assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    assert sorted(r["place"] for r in got if r["slot"] == 0) == list(range(sum(r["slot"] == 0 for r in got)))
+
+
+def test_mixture_of_very_many_sources(spark):
+    rows = [(i, "word " * (1 + i % 9), f"host{i % 6000}") for i in range(9000)]
+    got = mixing.mix(table(spark, rows), block_chars=30).collect()
+    assert {r["doc_id"] for r in got if r["epoch"] == 0} == set(range(9000)) and len({r["source"] for r in got}) == 6000
+    with pytest.raises(ValueError, match="no weight"):
+        mixing.mix(table(spark, rows[:3]), weights={"host0": 1})
 
 
 def test_mixture_leaves_nothing_out(docs):
@@ -69,8 +127,13 @@ def test_mixture_of_null_ids_and_sources(spark):
     rows = spark.createDataFrame([(None, "a", None), (1, None, "s"), (2, "b", None)], "doc_id long, text string, source string")
     got = mixing.mix(rows).collect()
     assert {(r["doc_id"], r["source"]) for r in got} == {(None, None), (1, "s"), (2, None)}
-    with pytest.raises(ValueError, match="positive"):
-        mixing.apportion({"a": 0.0})
+
+
+def test_mixture_of_one_row_very_often(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 50)
+    rows = table(spark, [(7, "the same text", "s")]).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(1000)))).drop("k")
+    got = mixing.mix(rows.unionByName(table(spark, [(1, "x" * 100, "t")])), block_chars=130).collect()
+    assert Counter(r["block"] for r in got if r["source"] == "s" and r["epoch"] == 0) == {k: 10 for k in range(100)}
 
 
 # -- packing --------------------------------------------------------------------------------------------------------
@@ -87,6 +150,15 @@ def test_ids_are_the_tokenizer_files():
         assert encoder.encode(t) == np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a" + "\t" * 1_500_000 + "b", "\n" * 1_200_000, "x" * 400_000, " \n" * 600_000 + "end", "a\u3000" + "\u3000" * 300_000])
+def test_ids_of_very_long_runs(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.Encoder("byte_bpe_50k.json").encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 @pytest.mark.parametrize("block", [8, 4000])
 def test_packing_is_an_exact_round_trip(docs, block):
     capacity = 64

@@ -1,6 +1,8 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,32 +58,86 @@ def test_base_spans_and_the_ones_that_the_method_adds(spark):
     assert got[8]["n_assign"] == 0 and got[6]["spans"] == got[7]["spans"] == ""
 
 
-def guess_by_brute_force(value):
-    """The cheapest of all segmentations, by recursion over what may start at each place."""
-    low = value.translate(secret_scan._LOWER)
-    plain = low.translate(secret_scan.LEET)
-    n = len(value)
+KEYS = ["1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./"]
+SWAPS = {"4": "a", "@": "a", "8": "b", "3": "e", "0": "o", "1": "i", "!": "i", "5": "s", "7": "t", "$": "s"}
+DATES = r"(19|20)\d\d([-/.]?(0[1-9]|1[0-2])([-/.]?(0[1-9]|[12]\d|3[01]))?)?|(0?[1-9]|[12]\d|3[01])[-/.](0?[1-9]|1[0-2])[-/.]((19|20)\d\d|\d\d)"
 
+
+def alphabet(c):
+    return 10 if c.isdigit() else 26 if c.islower() or c.isupper() else 33
+
+
+def key_place(c):
+    return next(((r, row.index(c)) for r, row in enumerate(KEYS) if c in row), None)
+
+
+def one_span(part, words):
+    """The least cost of a part as one word, date, walk, sequence or repeat; endless if it is none."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in part)
+    plain, out = "".join(SWAPS.get(c, c) for c in low), [np.inf]
+    if plain in words:
+        shifts = 0 if part.islower() else 1 if part[1:].islower() or part.isupper() else len(part)
+        out.append(np.log2(words.index(plain) + 1) + shifts + 2 * (plain != low) + 1)
+    if re.fullmatch(DATES, part, re.ASCII):
+        out.append((np.log2(366) if len(part) > 4 else 0) + np.log2(120) + 1)
+    if len(part) >= 3:
+        places = [key_place(c) for c in low]
+        if all(places) and all(p != q and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1 for p, q in zip(places, places[1:])):
+            steps = [ord(b) - ord(a) for a, b in zip(low, low[1:])]
+            out.append(np.log2(sum(map(len, KEYS))) + 0.5 * (len(part) - 1) + min(3, sum(a != b for a, b in zip(steps, steps[1:]))) + 1)
+        steps = {ord(b) - ord(a) for a, b in zip(part, part[1:])}
+        if steps in ({1}, {-1}):
+            out.append(np.log2(36) + np.log2(len(part)) + 1)
+    return min(out)
+
+
+def guess_by_brute_force(value, more=()):
+    """The cheapest of all segmentations, from the rules in words: no table or function of the code under test but its word list."""
+    n, words = len(value), list(dict.fromkeys([*secret_scan.WORDS, *more]))
+
+    @lru_cache(None)
     def best(at):
         if at == n:
             return 0.0
-        out = secret_scan._class_bits(value[at]) + best(at + 1)
-        for to, cost in secret_scan._spans(value, low, plain, at):
-            out = min(out, cost + 1 + best(to))
+        out = np.log2(alphabet(value[at])) + best(at + 1)
+        for to in range(at + 2, n + 1):
+            # A match of a date is the longest one from its place on.
+            part = value[at:to]
+            date = re.match(DATES, value[at : at + 10], re.ASCII)
+            cost = one_span(part, words)
+            if not (date and re.fullmatch(DATES, part, re.ASCII) and date.end() != to - at):
+                out = min(out, cost + best(to))
         for unit in range(1, min(8, n // 2) + 1):
             times = 1
             while value.startswith(value[at : at + unit], at + times * unit):
                 times += 1
             if times > 1 and times * unit >= 3:
-                out = min(out, sum(map(secret_scan._class_bits, value[at : at + unit])) + np.log2(times) + 1 + best(at + times * unit))
+                out = min(out, sum(np.log2(alphabet(c)) for c in value[at : at + unit]) + np.log2(times) + 1 + best(at + times * unit))
         return out
 
     return best(0)
 
 
-@pytest.mark.parametrize("value", ["changeme", "P@ssw0rd2024", "qwertyuiop", "aaaaaa", "Xk9#mQ2v", "abcabcabc", "12/31/1999x", "zzTopzz", "é1é1é1"])
+@pytest.mark.parametrize("value", ["changeme", "P@ssw0rd2024", "qwertyuiop", "aaaaaa", "Xk9#mQ2v", "abcabcabc", "12/31/1999x", "zzTopzz", "é1é1é1", "qwertyasdf99", "abcdefgh321", "2024-11-26x", "Ab3$", "..//..//"])
 def test_guess_cost_is_the_least(value):
     assert secret_scan.guess_bits(value) == pytest.approx(guess_by_brute_force(value))
+    more = ["zztop", "change", "mq"]
+    assert secret_scan.guess_bits(value, secret_scan.Ranks(more)) == pytest.approx(guess_by_brute_force(value, more))
+
+
+def test_long_walks_and_sequences_are_spans_and_linear():
+    assert secret_scan.guess_bits("qw" * 40, max_span=10**6) == pytest.approx(secret_scan.guess_bits("qw" * 40))
+    walk = "qwertgfdsazxcvbn"
+    assert secret_scan.guess_bits(walk, max_span=4) <= np.log2(len(secret_scan._NEXT)) + 0.5 * 15 + 3 + 1 + 1e-9
+    assert secret_scan.guess_bits("qwsazx" * 30_000) > 0
+
+
+def test_words_of_the_corpus_are_in_the_dictionary(spark):
+    rows = [(1, "password: corvidlantern end"), (2, "the corvidlantern and a corvidlantern"), (3, None)]
+    few = {r["doc_id"]: r["n_guess"] for r in secret_scan.secret_scan(table(spark, rows), words=0).collect()}
+    more = {r["doc_id"]: r["n_guess"] for r in secret_scan.secret_scan(table(spark, rows)).collect()}
+    assert few == {1: 1, 2: 0, 3: 0} and more == {1: 0, 2: 0, 3: 0}
+    assert secret_scan.corpus_words(table(spark, rows))[0] == "corvidlantern"
 
 
 def test_guess_cost_tells_weak_from_strong():
@@ -128,6 +184,20 @@ def test_fingerprints_of_texts_and_their_edits(docs, monkeypatch, run_rows):
     assert np.median([r["near_edited"] for r in got]) > np.median([r["near_next"] for r in got]) + 0.3
 
 
+@pytest.mark.parametrize("radius", [0, 1, 3, 8, 24, 40])
+def test_block_tables_are_brute_force(radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 2, (60, 128))
+    bits = np.concatenate([base, base, base])
+    for k in range(60, 180):
+        bits[k, rng.choice(128, rng.integers(0, radius + 4), replace=False)] ^= 1
+    halves = np.packbits(bits.astype(np.uint8), axis=1).view(np.uint64).reshape(-1, 2)
+    batch = pa.RecordBatch.from_arrays([pa.array(halves[:, 0].copy().view(np.int64)), pa.array(halves[:, 1].copy().view(np.int64)), pa.array(np.arange(1, 181))], names=["_h0", "_h1", "_rows"])
+    (got,) = fingerprints._within(halves[:90, 0].copy(), halves[:90, 1].copy(), radius)(iter([batch.slice(0, 100), batch.slice(100)]))
+    apart = (bits[:, None] != bits[None, :90]).sum(2) <= radius
+    assert got["_near"].to_pylist() == [int(np.arange(1, 181)[apart[:, q]].sum()) for q in range(90)]
+
+
 def test_block_tables_find_every_pair_in_the_radius(spark):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2, (20, 128))
@@ -141,6 +211,43 @@ def test_block_tables_find_every_pair_in_the_radius(spark):
         assert got[int(a), int(b)] == ((bits != bits[k]).sum(1) <= 3).sum()
 
 
+M = (1 << 64) - 1
+B = 0x9E3779B97F4A7C15
+
+
+def mixed(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & M
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & M
+    return x ^ x >> 31
+
+
+def word_hash(word):
+    data = word.encode()
+    total = sum(mixed((b + 1) * B & M) * pow(B, k, 1 << 64) for k, b in enumerate(data))
+    return mixed((total + len(data) * 0xD6E8FEB86659FD93) & M)
+
+
+def votes_by_hand(text):
+    """Every shingle of three words votes with 1 + log2 of its count on each of 128 bits; whole numbers and one word at a time."""
+    h = [word_hash(w) for w in words_of(text)]
+    terms = Counter(mixed(sum(x * pow(B, k, 1 << 64) for k, x in enumerate(h[i : i + 3])) & M) >> 16 for i in range(len(h) - 2))
+    out = []
+    for s in range(2):
+        for bit in [8 * byte + b for byte in range(8) for b in range(7, -1, -1)]:
+            yes = sum(1 + np.log2(n) for t, n in terms.items() if mixed((t * (2 * s + 1) + s + 77) & M) >> bit & 1)
+            out.append(2 * yes > sum(1 + np.log2(n) for n in terms.values()))
+    return out
+
+
+def test_every_shingle_votes(docs):
+    long_ = [t for _, t in ROWS if len(words_of(t)) >= fingerprints.SHORT and len(t) < 5000]
+    long_.append(long_[0] + " " + long_[0] + " Été 日本 " + long_[1])
+    assert len(long_) > 20
+    got = np.unpackbits(fingerprints.simhash(pa.array(long_)).view(np.uint8).reshape(len(long_), -1), axis=1).astype(bool)
+    for text, bits in zip(long_, got, strict=True):
+        assert bits.tolist() == votes_by_hand(text)
+
+
 def test_simhash_by_hand():
     text = "a b c d a b c"
     words = words_of(text)
@@ -201,6 +308,49 @@ def test_temperature_makes_labels_likelier():
     assert quality._temperature(logits * 5, y) == pytest.approx(2.5, rel=0.15)
 
 
+def test_word_vectors_and_pooling_are_the_sums_over_neighbours(spark):
+    texts = ["a b c a", "b c", "", None, "a a b", "日本 c\tb"]
+    total = np.zeros((quality.SLOTS, quality.WIDTH))
+    for t in texts:
+        h = [word_hash(w) for w in words_of(t)]
+        for i, x in enumerate(h):
+            for j in range(max(0, i - quality.REACH), min(len(h), i + quality.REACH + 1)):
+                code = mixed((h[j] + 1) & M)
+                for one in range(quality.ONES if j != i else 0):
+                    bits = code >> 16 * one
+                    total[x % quality.SLOTS, bits % quality.WIDTH] += 1 if bits >> 8 & 1 else -1
+    total -= total.mean(0)
+    total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+    vectors = quality.word_vectors(spark.createDataFrame([(t,) for t in texts], "_text string"))
+    assert np.allclose(vectors, total, atol=1e-5)
+    for t, got in zip(texts, quality.pooled(pa.array(texts, pa.string()), vectors), strict=True):
+        v = np.array([total[word_hash(w) % quality.SLOTS] for w in words_of(t)])
+        if not len(v):
+            assert not got.any()
+            continue
+        near = (v[1:] * v[:-1]).sum(0) / max(len(v) - 1, 1) * 4
+        share = len({word_hash(w) % quality.SLOTS for w in words_of(t)}) / len(v)
+        assert np.allclose(got, [*v.mean(0), *v.std(0), *near, np.log1p(len(v)) / 4, share], atol=1e-3)
+
+
+def test_network_is_two_layers_with_a_temperature():
+    rng = np.random.default_rng(5)
+    f = quality.FEATURES
+    vectors = rng.normal(size=(quality.SLOTS, quality.WIDTH)).astype(np.float32)
+    layers = (rng.normal(size=(f, 3)), rng.normal(size=3), rng.normal(size=3), np.float64(0.2))
+    model = quality.Model(vectors, rng.normal(size=f), rng.uniform(1, 2, f), layers, 1.7)
+    (x,) = quality.pooled(pa.array(["a b c"]), vectors)
+    hidden = [np.tanh(sum((x[i] - model.mean[i]) / model.scale[i] * layers[0][i, k] for i in range(f)) + layers[1][k]) for k in range(3)]
+    want = 1 / (1 + np.exp(-(sum(h * w for h, w in zip(hidden, layers[2])) + 0.2) / 1.7))
+    assert model.scores(pa.array(["a b c"]))[0] == pytest.approx(want, rel=1e-5)
+
+
+def test_repeated_ids_do_not_multiply_what_is_fetched(spark):
+    rows, labels, table_ = labelled(spark, 60)
+    many = table(spark, rows + [(rows[0][0], f"text {k}") for k in range(500)])
+    assert len(quality.quality_scores(many, table_).collect()) == len(rows) + 500
+
+
 # -- language model -------------------------------------------------------------------------------------------------
 
 
@@ -276,10 +426,12 @@ def test_words_outside_the_vocabulary_have_their_own_probability(spark, monkeypa
 
 def test_every_place_is_a_target_once(spark, monkeypatch):
     words = lm_scoring.Words(pa.array([t for _, t in ROWS]))
-    places = np.concatenate([lm_scoring._masked(words, k) for k in range(lm_scoring.ROUNDS)])
-    assert sorted(places) == list(range(len(words)))
+    of = lm_scoring._round_of(words)
+    assert len(of) == len(words) and set(of) == set(range(lm_scoring.ROUNDS)) == set(range(lm_scoring.MASK_EVERY))
+    (row,) = lm_scoring.tokenized(spark.createDataFrame([(ROWS[2][1],)], "_text string"), np.zeros(0, np.uint64)).collect()
+    assert len(row["_rounds"]) == len(words_of(ROWS[2][1])) == len(row["_ids"]) / 2
     asked = []
-    monkeypatch.setattr(lm_scoring, "_trained", lambda texts, known, p, k: asked.append(k) or spark.createDataFrame([], "task long, block long, weight long, numbers binary"))
+    monkeypatch.setattr(lm_scoring, "_trained", lambda tokens, p, k: asked.append(k) or spark.createDataFrame([], "task long, block long, weight long, numbers binary"))
     monkeypatch.setattr(lm_scoring, "_averaged", lambda *_: None)
     lm_scoring.train(table(spark, ROWS))
     assert asked == list(range(lm_scoring.MASK_EVERY))
