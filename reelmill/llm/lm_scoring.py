@@ -33,6 +33,8 @@ VOCABULARY, HASHED = CLASSES * IN_CLASS, 128
 REACH, HIDDEN = 2, 24
 #: One place in so many is masked in a round; rounds over the corpus (each takes another part); places to a step; step width.
 MASK_EVERY, ROUNDS, STEP_PLACES, RATE = 6, 6, 1024, 0.08
+#: Places scored at a time: their layers fit a core's cache.
+SCORED_PLACES = 16_384
 #: Parameters travel as blocks of so many numbers; so many tasks' blocks are added up at a time.
 BLOCK, FAN_IN = 4096, 64
 EDGE = VOCABULARY  # stands for what lies outside a text
@@ -206,11 +208,12 @@ class Learner:
         steps += [("word", layers.transpose(0, 2, 1) @ off / n, ...), ("word_bias", off.sum(1) / n, ...)]
         back *= (1 - hidden * hidden) / n
         steps.append(("bias", back.sum(0), ...))
-        for k in range(2 * REACH):
-            order = np.argsort(context[:, k], kind="stable")
-            word = context[order, k]
-            first = np.flatnonzero(np.diff(word, prepend=-1))
-            steps.append(("embed", np.add.reduceat(back[order], first), (k, word[first])))
+        # The tables of all places on either side are one, row after row.
+        row = (context + np.arange(2 * REACH) * (VOCABULARY + 1)).ravel()
+        order = np.argsort(row, kind="stable")
+        row = row[order]
+        first = np.flatnonzero(np.diff(row, prepend=-1))
+        steps.append(("embed", np.add.reduceat(back[order // (2 * REACH)], first), np.divmod(row[first], VOCABULARY + 1)))
         for k, grad, at in steps:
             self._step(k, grad, at)
         self.places += n
@@ -338,8 +341,8 @@ def _sums(docs: DataFrame, model: tuple[np.ndarray, Parameters], id_col: str, te
                 if len(words):
                     h = words.hashes()
                     ids, text = _ids(words, known, h), words.text_of()
-                    for k in range(0, len(ids), 50_000):
-                        places = np.arange(k, min(k + 50_000, len(ids)))
+                    for k in range(0, len(ids), SCORED_PLACES):
+                        places = np.arange(k, min(k + SCORED_PLACES, len(ids)))
                         got = log_probabilities(p, _contexts(words.first, ids, places), ids[places])
                         total += np.bincount(text[places], got, to - at)
                     if held is not None:
