@@ -55,31 +55,25 @@ def train_val_assign(groups: DataFrame, fake: str, real: str, key: str, ratio: f
 def next_fit_shards(groups: DataFrame, split: str, dataset: str, group: str, size: str, target: int) -> DataFrame:
     """Adds part: groups in the order of (split, dataset, group) fill a shard until the next would overflow it.
 
-    Shards never cross splits, and a group over the target is alone. Each split is a fold of its own; its rows are
-    one per group, which is metadata.
+    Shards never cross splits, and a group over the target is alone. Where a shard ends depends on all groups before
+    it, so one task walks through the groups (a row each, sorted with spilling); it holds a batch of them and two numbers.
     """
+    kinds = {f.name: f.dataType.simpleString() for f in groups.select(split, dataset, group, size).schema} | {size: "bigint"}
     rows = groups.select(split, dataset, group, F.col(size).cast("long").alias(size), split_rank(F.col(split)).alias("_rank"))
+    ordered = rows.coalesce(1).sortWithinPartitions("_rank", split, dataset, group)
 
-    def fill(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values([dataset, group], kind="stable")
-        local, used, out = 0, 0, []
-        for n in part[size]:
-            if used and used + n > target:
-                local, used = local + 1, 0
-            used += n
-            out.append(local)
-        return part.assign(_local=out)
-
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    local = rows.groupBy(split).applyInPandas(fill, ", ".join(f"{k} {v}" for k, v in kinds.items()) + ", _local long")
-    sizes = {(r["_rank"], r[split]): r["n"] for r in local.groupBy("_rank", split).agg((F.max("_local") + 1).alias("n")).collect()}  # a row per split
-    offsets, at = {}, 0
-    for k in sorted(sizes):
-        offsets[k[1]], at = at, at + sizes[k]
-    offset = F.lit(0)
-    for name, n in offsets.items():
-        offset = F.when(F.col(split) == name, F.lit(n)).otherwise(offset)
-    return local.withColumn("part", (offset + F.col("_local")).cast("long")).drop("_rank", "_local")
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, used, last = 0, 0, None
+        for batch in batches:
+            out = []
+            for name, n in zip(batch[split], batch[size], strict=True):
+                if last is not None and (name != last or used and used + n > target):
+                    part, used = part + 1, 0
+                used, last = used + n, name
+                out.append(part)
+            yield batch.drop(columns="_rank").assign(part=out)
+
+    return ordered.mapInPandas(fill, ", ".join(f"{k} {v}" for k, v in kinds.items()) + ", part long")
 
 
 def shard_rows(manifest: DataFrame, plan: DataFrame, part: int, keys: list[str]) -> DataFrame:
@@ -88,23 +82,66 @@ def shard_rows(manifest: DataFrame, plan: DataFrame, part: int, keys: list[str])
 
 
 def rewrite_paths(paths: str, suffix: str = ".jpg") -> Column:
-    """A JSON list of paths with another suffix, in the spacing of Python's dumps; for names that need no escapes."""
+    """A JSON list of paths with another suffix, written as json_list() does."""
     new = F.transform(F.from_json(F.col(paths), "array<string>"), lambda p: F.concat(F.regexp_replace(p, r"\.[^./]*$", ""), F.lit(suffix)))
     return json_list(new)
 
 
+def json_text(name: Column) -> Column:
+    """A JSON string in ASCII: quotes, backslashes and control characters escaped, others beyond ASCII as \\uXXXX (two for a rare one)."""
+    quoted = F.to_json(F.array(name))
+    quoted = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    units = lambda c: F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(....)", r"\\u$1")
+    plain = F.array_join(F.transform(F.split(quoted, ""), lambda c: F.when(c.rlike(r"^[\x00-\x7e]*$"), c).otherwise(units(c))), "")
+    return F.when(quoted.rlike(r"[^\x00-\x7e]"), plain).otherwise(quoted)
+
+
 def json_list(names: Column) -> Column:
-    return F.when(F.size(names) == 0, F.lit("[]")).otherwise(F.concat(F.lit('["'), F.array_join(names, '", "'), F.lit('"]')))
+    """A JSON list of strings with a blank after each comma."""
+    return F.concat(F.lit("["), F.array_join(F.transform(names, json_text), ", "), F.lit("]"))
 
 
 def archive_name(profile: Column, part: Column) -> Column:
     return F.format_string("%s_part%03d.zip", profile, part.cast("int"))
 
 
+def manifest_files(rows: DataFrame, plan: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """(part, name, content): what goes into each shard's archive besides pictures, its rows as a CSV and its numbers as JSON.
+
+    plan has (keys, part, split, bytes), a row for each group. A shard's rows are gathered in one task, as its archive is.
+    """
+    placed = rows.join(plan.select(*keys, "part"), keys)
+    parts = plan.agg(F.max("part") + 1).first()[0] or 0
+    told = plan.groupBy("part").agg(F.min("split").alias("split"), F.count("*").alias("groups"), F.sum("bytes").alias("bytes"))
+
+    def table(part: pd.DataFrame) -> pd.DataFrame:
+        k, head = int(part["part"].iloc[0]), part.iloc[0]
+        own = part[part["_row"]].sort_values(columns, kind="stable")
+        info = {"part": k + 1, "total_parts": int(parts), "split": head["_split"], "group_count": int(head["_groups"]), "sequence_count": len(own), "source_bytes": int(head["_bytes"])}
+        files = {"manifests/sequence_manifest.csv": own[columns].to_csv(index=False), "manifests/shard_info.json": json.dumps(info, indent=2)}
+        return pd.DataFrame({"part": k, "name": list(files), "content": [x.encode() for x in files.values()]})
+
+    marked = told.select("part", F.col("split").alias("_split"), F.col("groups").alias("_groups"), F.col("bytes").alias("_bytes"))
+    wide = placed.select("part", F.lit(True).alias("_row"), *columns).join(marked, "part", "right").withColumn("_row", F.coalesce("_row", F.lit(False)))
+    return wide.groupBy("part").applyInPandas(table, "part long, name string, content binary")
+
+
+def check_arguments(archive: str, sequences_per_video: int = 1, quality: int = 95, workers: int = 1) -> None:
+    """Raises with every flaw of an export's arguments in one message, and if the archive or its unfinished form is there."""
+    flaws = [f"{n} must be positive" for n, v in (("workers", workers), ("sequences_per_video", sequences_per_video)) if v < 1]
+    flaws += ["quality must be 1 to 100"] * (not 1 <= quality <= 100)
+    if flaws:
+        raise ValueError("; ".join(flaws))
+    for path in (archive, f"{archive}.partial"):
+        if os.path.exists(path):
+            raise FileExistsError(path)
+
+
 def write_archives(files: DataFrame, folder: str, part: str = "part", name: str = "name", content: str = "content") -> DataFrame:
     """One stored ZIP for each part, written in its task to a folder that all executors share: (part, path, files, sha256).
 
-    An archive is written beside its place, tested and then moved there; one that is already there is an error.
+    An archive is written beside its place, tested and then moved there; one that is already there is an error. The
+    rows of manifest_files() are files like any other.
     """
 
     def write(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -19,9 +19,14 @@ def candidate_score(quality: Column, motion: Column, time: Column, bin_: Column,
     return F.lit(QUALITY_WEIGHT) * quality + F.lit(MOTION_WEIGHT) * F.least(motion / F.lit(FULL_MOTION), F.lit(1.0)) + F.lit(CENTER_WEIGHT) * center
 
 
-def dense_bins(rows: DataFrame, item: str, bin_: str) -> DataFrame:
+def names(item: str | list[str]) -> list[str]:
+    """The columns that name an item: one, or several."""
+    return [item] if isinstance(item, str) else list(item)
+
+
+def dense_bins(rows: DataFrame, item: str | list[str], bin_: str) -> DataFrame:
     """Every bin of an item from 0 to its last one."""
-    return rows.groupBy(item).agg(F.max(bin_).alias("_last")).select(item, F.explode(F.sequence(F.lit(0).cast("long"), "_last")).alias(bin_))
+    return rows.groupBy(*names(item)).agg(F.max(bin_).alias("_last")).select(*names(item), F.explode(F.sequence(F.lit(0).cast("long"), "_last")).alias(bin_))
 
 
 def best_per_bin(rows: DataFrame, item: str, bin_: str, score: str, order: str) -> DataFrame:
@@ -55,15 +60,20 @@ def fold_select(rows: DataFrame, item: str, bin_: str, order: str, time: str, qu
     return out.select(item, F.col("_r.b").alias(bin_), F.col("_r.o").alias(order), F.col("_r.s").alias("score"), F.col("_r.m").alias("motion"))
 
 
-def repair_gaps(chosen: DataFrame, item: str, bin_: str, interval: float, max_repairs: int = 1, carried: list[str] = (), frame: str | None = None) -> DataFrame:
+def repair_gaps(
+    chosen: DataFrame, item: str | list[str], bin_: str, interval: float, max_repairs: int = 1, carried: list[str] = (), frame: str | None = None, candidates: DataFrame | None = None
+) -> DataFrame:
     """Every bin of an item as valid, repair or missing, with what a repair carries over from the last valid bin.
 
-    A gap's first max_repairs bins are repairs if anything valid stands before them. A repair starts at its bin's
-    start, has no motion and a similarity of 1; a missing bin has quality 0 and no similarity.
+    Bins end with the item's last one among candidates, whether or not anything in it was chosen (among chosen, if
+    none are given); an item with candidates and nothing chosen is missing throughout. A gap's first max_repairs bins
+    are repairs if anything valid stands before them. A repair starts at its bin's start, has no motion and a
+    similarity of 1; a missing bin has quality 0 and no similarity.
     """
-    bins = dense_bins(chosen, item, bin_)
-    rows = bins.join(chosen.withColumn("_valid", F.lit(True)), [item, bin_], "left")
-    upto = Window.partitionBy(item).orderBy(bin_).rowsBetween(Window.unboundedPreceding, 0)
+    by = names(item)
+    bins = dense_bins(chosen if candidates is None else candidates, item, bin_)
+    rows = bins.join(chosen.withColumn("_valid", F.lit(True)), [*by, bin_], "left")
+    upto = Window.partitionBy(*by).orderBy(bin_).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_lv", F.last(F.when(F.col("_valid"), F.col(bin_)), ignorenulls=True).over(upto))
     state = F.when(F.col("_valid"), "valid").when(F.col("_lv").isNotNull() & (F.col(bin_) - F.col("_lv") <= max_repairs), "repair").otherwise("missing")
     rows = rows.withColumn("state", state)

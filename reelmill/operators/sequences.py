@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelmill.operators.selection import names
+
 
 @dataclass(frozen=True)
 class WindowLimits:
@@ -17,17 +19,22 @@ class WindowLimits:
     min_motion: float = 0.005
 
 
-def sliding_windows(bins: DataFrame, item: str, bin_: str, state: str, quality: str, motion: str, ssim: str, length: int, hop: int, limits: WindowLimits = WindowLimits()) -> DataFrame:
+def sliding_windows(
+    bins: DataFrame, item: str | list[str], bin_: str, state: str, quality: str, motion: str, ssim: str, length: int, hop: int, limits: WindowLimits = WindowLimits(), ends: dict[str, str] | None = None
+) -> DataFrame:
     """(item, start_bin, end_bin, avg_quality, avg_motion, duplicate_ratio, missing_ratio, repair_ratio, window_score).
 
-    Windows of `length` bins start at every `hop`-th bin. Bins whose similarity is known are comparable; those at or
+    Windows of `length` bins start at every `hop`-th bin; `ends` names columns whose values in a window's first and
+    last bin are added, as start_ and end_ with the given name. Bins whose similarity is known are comparable; those at or
     over redundant_ssim are duplicates. Motion is averaged over comparable bins, everything else over all.
     """
-    over = Window.partitionBy(item).orderBy(bin_).rowsBetween(0, length - 1)
+    by = names(item)
+    over = Window.partitionBy(*by).orderBy(bin_).rowsBetween(0, length - 1)
     known = F.col(ssim).isNotNull()
     comparable = F.count(F.when(known, 1)).over(over)
     wide = bins.select(
-        item,
+        *by,
+        *(f(c).over(over).alias(f"{side}_{n}") for c, n in (ends or {}).items() for side, f in (("start", F.first), ("end", F.last))),
         F.col(bin_).alias("start_bin"),
         F.count("*").over(over).alias("_n"),
         F.avg(quality).over(over).alias("avg_quality"),

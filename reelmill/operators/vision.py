@@ -102,7 +102,11 @@ def motion_against_previous(images: DataFrame, item: str, order: str, pixels: st
 
     @F.pandas_udf("double")
     def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else ssim(np.reshape(p, (side, side)), np.reshape(q, (side, side))) for p, q in zip(a, b, strict=True)], dtype="float64")
+        both = (a.notna() & b.notna()).to_numpy()
+        out = np.full(len(a), np.nan)
+        if both.any():
+            out[both] = ssim_of_many(*(np.stack(x[both].to_list()).reshape(-1, side, side) for x in (a, b)))
+        return pd.Series(out)
 
     rows = images.withColumn("_before", before).withColumn("ssim", F.nanvl(similarity(F.col(pixels), F.col("_before")), F.lit(None).cast("double")))
     return rows.select(item, order, "ssim", F.greatest(F.lit(0.0), 1 - F.col("ssim")).alias("motion"))
@@ -145,6 +149,25 @@ def ssim(a: np.ndarray, b: np.ndarray, window: int = 7, data_range: float = 255.
     return float((((2 * mx * my + c1) * (2 * cov + c2)) / ((mx**2 + my**2 + c1) * (vx + vy + c2))).mean())
 
 
+def ssim_of_many(a: np.ndarray, b: np.ndarray, window: int = 7, data_range: float = 255.0) -> np.ndarray:
+    """ssim() of each gray picture of a with the one of b at its place; sums over windows come from running sums."""
+
+    def means(z: np.ndarray) -> np.ndarray:
+        total = np.zeros((len(z), z.shape[1] + 1, z.shape[2] + 1))
+        total[:, 1:, 1:] = z.cumsum(1).cumsum(2)
+        return (total[:, window:, window:] - total[:, :-window, window:] - total[:, window:, :-window] + total[:, :-window, :-window]) / window**2
+
+    # Around one value for each picture, as differences of large squares lose digits.
+    shift = a.mean((1, 2), keepdims=True)
+    x, y = np.asarray(a, float) - shift, np.asarray(b, float) - shift
+    mx, my = means(x), means(y)
+    scale = window**2 / (window**2 - 1)
+    vx, vy, cov = (means(x * x) - mx * mx) * scale, (means(y * y) - my * my) * scale, (means(x * y) - mx * my) * scale
+    mx, my = mx + shift, my + shift
+    c1, c2 = (0.01 * data_range) ** 2, (0.03 * data_range) ** 2
+    return (((2 * mx * my + c1) * (2 * cov + c2)) / ((mx**2 + my**2 + c1) * (vx + vy + c2))).mean((1, 2))
+
+
 def resize(image: np.ndarray, size: int) -> np.ndarray:
     """Bilinear, with pixel centers aligned."""
     h, w = image.shape[:2]
@@ -199,25 +222,58 @@ class VideoSettings:
     use_timestamps: bool = True
     margin: float = 1.3
     min_face_ratio: float = 0.02
+    largest: bool = True
     quality: QualityLimits = QualityLimits()
 
 
-CHOSEN = "video_id string, bin long, frame_index long, timestamp double, quality double, motion double, ssim double, score double, image binary"
+#: Makes a detector, by the name that settings give it.
+DETECTORS: dict[str, Callable[[], Callable[[np.ndarray], list[Detection]]]] = {}
+
+
+def mediapipe_detector(model: int = 0, least_score: float = 0.5):
+    """Faces by that library, where it is installed."""
+    from mediapipe import solutions
+
+    class Detector:
+        def __init__(self):
+            self.own = solutions.face_detection.FaceDetection(model_selection=model, min_detection_confidence=least_score)
+
+        def __call__(self, image: np.ndarray) -> list[Detection]:
+            boxes = [(d.location_data.relative_bounding_box, float(d.score[0])) for d in self.own.process(image).detections or []]
+            return [(b.xmin, b.ymin, b.width, b.height, score) for b, score in boxes]
+
+        def close(self) -> None:
+            self.own.close()
+
+    return Detector()
+
+
+DETECTORS["mediapipe"] = mediapipe_detector
+
+
+def detector_named(name: str):
+    if name not in DETECTORS:
+        raise ValueError(f"unsupported detector: {name}")
+    return DETECTORS[name]
+
+
+CHOSEN = "dataset_id string, video_id string, bin long, frame_index long, timestamp double, quality double, motion double, ssim double, score double, image binary"
 
 
 def chosen_frames(videos: DataFrame, decode: Callable[[str], tuple[float, Iterator[Frame]]], detector: Callable[[], Callable[[np.ndarray], list[Detection]]], settings: VideoSettings = VideoSettings()) -> DataFrame:
-    """(video_id, error, ...): the best frame of each time bin of each video, one video at a time in each task.
+    """(dataset_id, video_id, error, ...): the best frame of each time bin of each video, one video at a time in each task.
 
     Frames are decoded, put at their times, sampled, cropped and scored as they come; only the best of the open bin
-    and the last chosen picture are held. A video that fails gives one row with its error and nothing else. One
-    detector is made for each task.
+    and the last chosen picture are held. If a video's last bin has candidates but no frame that can be chosen, a row
+    without a frame stands for it, so the bins after the last chosen one are known. A video that fails gives one row
+    with its error and nothing else. One detector is made for each task.
     """
     bin_s, step = 1.0 / settings.model_fps, 1.0 / settings.candidate_fps
 
     def one(path: str, detect) -> Iterator[tuple]:
         fps, frames = decode(path)
         fps = fps if fps and fps > 0 else 30.0
-        at, taken = None, -1
+        at, taken, end = None, -1, -1
         best, last = None, None
         for image, container, index in frames:
             t = index / fps
@@ -227,13 +283,14 @@ def chosen_frames(videos: DataFrame, decode: Callable[[str], tuple[float, Iterat
             if (bucket := int((t + 1e-9) // step)) <= taken:
                 continue
             taken = bucket
-            face, confidence, invalid = crop(image, detect(image), settings.image_size, settings.margin, True, settings.min_face_ratio)
+            k = int(t / bin_s)
+            end = max(end, k)
+            face, confidence, invalid = crop(image, detect(image), settings.image_size, settings.margin, settings.largest, settings.min_face_ratio)
             if face is None or invalid:
                 continue
             quality, inside = quality_score(face, confidence, settings.quality)
             if not inside:
                 continue
-            k = int(t / bin_s)
             if best and best[0] < k:
                 yield best
                 last, best = best[-1], None
@@ -244,19 +301,21 @@ def chosen_frames(videos: DataFrame, decode: Callable[[str], tuple[float, Iterat
                 best = (k, index, t, quality, motion, like, score, face)
         if best:
             yield best
+        if end > (best[0] if best else -1):
+            yield end, *[None] * 7
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         detect = detector()
         try:
             for batch in batches:
-                for video, path in zip(batch["video_id"], batch["path"], strict=True):
+                for source, video, path in zip(batch["dataset_id"], batch["video_id"], batch["path"], strict=True):
                     try:
-                        rows = [(video, *r[:-1], encode_png(r[-1]), None) for r in one(path, detect)]
+                        rows = [(source, video, *r[:-1], None if r[-1] is None else encode_png(r[-1]), None) for r in one(path, detect)]
                     except Exception as e:  # the other videos go on; the caller decides what a failure means
-                        rows = [(video, *[None] * 8, f"{type(e).__name__}: {e}")]
+                        rows = [(source, video, *[None] * 8, f"{type(e).__name__}: {e}")]
                     if rows:
                         yield pd.DataFrame(rows, columns=[f.split()[0] for f in CHOSEN.split(", ")] + ["error"]).astype({"bin": "Int64", "frame_index": "Int64"})
         finally:
             getattr(detect, "close", lambda: None)()
 
-    return videos.select("video_id", "path").mapInPandas(run, CHOSEN + ", error string")
+    return videos.select("dataset_id", "video_id", "path").mapInPandas(run, CHOSEN + ", error string")

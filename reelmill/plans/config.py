@@ -7,7 +7,7 @@ from dataclasses import asdict, dataclass, field
 
 from reelmill.operators.identity import fingerprint
 from reelmill.operators.sequences import WindowLimits
-from reelmill.operators.vision import QualityLimits, VideoSettings
+from reelmill.operators.vision import DETECTORS, QualityLimits, VideoSettings
 
 FORMATS = ("png", "jpg", "jpeg")
 
@@ -28,6 +28,10 @@ class RunConfig:
     image_size: int = 300
     max_sequences_per_video: int = 6
     max_repairs: int = 1
+    detector: str = "mediapipe"
+    select_largest_face: bool = True
+    face_margin: float = 1.3
+    min_face_ratio: float = 0.02
     output_format: str = "png"
     jpeg_quality: int = 95
     use_timestamp_sampling: bool = True
@@ -47,6 +51,7 @@ class RunConfig:
         flaws += ["model_fps is over candidate_fps"] * (self.model_fps > self.candidate_fps)
         flaws += ["ratios must be three, not negative, with the sum 1"] * (len(self.ratios) != 3 or min(self.ratios) < 0 or abs(sum(self.ratios) - 1) > 1e-9)
         flaws += [f"format {self.output_format!r}"] * (self.output_format.lower() not in FORMATS)
+        flaws += [f"unsupported detector {self.detector!r}"] * (self.detector not in DETECTORS)
         flaws += ["jpeg_quality must be 1 to 100"] * (not 1 <= self.jpeg_quality <= 100)
         flaws += [f"strategy {self.strategy!r}"] * (self.strategy != "balanced_hash") + [f"group_by {self.group_by!r}"] * (self.group_by != "background_and_video_name")
         flaws += ["sequence_dir must be inside output_dir"] * (not self.inside())
@@ -71,7 +76,7 @@ class RunConfig:
         return fingerprint(kept)
 
     def video_settings(self) -> VideoSettings:
-        return VideoSettings(self.candidate_fps, self.model_fps, self.image_size, self.use_timestamp_sampling, quality=self.quality)
+        return VideoSettings(self.candidate_fps, self.model_fps, self.image_size, self.use_timestamp_sampling, self.face_margin, self.min_face_ratio, self.select_largest_face, self.quality)
 
 
 def load(path: str) -> RunConfig:

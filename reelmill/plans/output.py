@@ -7,15 +7,20 @@ import os
 import shutil
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.operators import selection
 from reelmill.operators.export import write_archives
+from reelmill.operators.manifest import conformed, upsert
 from reelmill.operators.validate import require_valid
+from reelmill.operators.vision import resize
 from reelmill.plans.config import RunConfig
-from reelmill.plans.run import write_json
+from reelmill.plans.run import VIDEO, gapless, write_json
+from reelmill.schemas import SPLIT_ROWS
+from reelmill.shared import stored
+from reelmill.sources.manifests import read_csv
 
 
 def reset_sequences(config: RunConfig) -> None:
@@ -29,31 +34,50 @@ def reset_sequences(config: RunConfig) -> None:
 
 def clear(spark: SparkSession, path: str) -> None:
     """Deletes a folder in whatever store holds it."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    files, place = _files(spark, path)
+    files.delete(place, True)
 
 
-def write_csv(rows: DataFrame, path: str) -> None:
-    """One CSV with a header, written beside its place and moved there; for manifests, which are metadata."""
-    spark = rows.sparkSession
-    temporary = f"{path}.tmp"
-    rows.coalesce(1).write.mode("overwrite").option("header", True).csv(temporary)
+def _files(spark: SparkSession, path: str):
+    """The store that holds a path, and the path in it."""
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _files(spark, path)
+    return files.exists(place)
+
+
+def write_csv(rows: DataFrame, path: str) -> None:
+    """One CSV with a header, written beside its place and moved over what is there in one step; for manifests, which are metadata."""
+    spark = rows.sparkSession
+    jvm, temporary = spark.sparkContext._jvm, f"{path}.tmp"
+    rows.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(temporary)
+    files, place = _files(spark, path)
     (part,) = [s.getPath() for s in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{temporary}/part-*"))]
-    files.delete(place, False)
-    files.rename(part, place)
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    place = files.makeQualified(place)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(part, place, over)
     files.delete(jvm.org.apache.hadoop.fs.Path(temporary), True)
 
 
-def sequence_images(manifest: DataFrame, frames: DataFrame, config: RunConfig) -> DataFrame:
-    """(sequence_id, name, image) of every frame of every sequence; a repaired frame is the last valid one again."""
-    own = frames.select("video_id", "bin", F.col("bin").alias("source"))
-    whole = selection.repair_gaps(own, "video_id", "bin", 1 / config.model_fps, config.max_repairs, ["source"]).select("video_id", "bin", "source")
-    wanted = manifest.select("sequence_id", "video_id", F.posexplode(F.from_json("frame_paths", "array<string>")).alias("_k", "name"), "start_frame")
-    wanted = wanted.withColumn("bin", (F.col("start_frame") + F.col("_k")).cast("long")).join(whole, ["video_id", "bin"], "left")
-    return wanted.drop("bin").join(frames.select("video_id", F.col("bin").alias("source"), "image"), ["video_id", "source"], "left").select("sequence_id", "name", "image")
+def write_split_manifest(videos: DataFrame, path: str, keep: bool = True) -> None:
+    """Every video's split, added to what an earlier run has written there (the last row of a video stays)."""
+    rows = conformed(videos, SPLIT_ROWS)
+    if keep and exists(videos.sparkSession, path):
+        rows = upsert(conformed(read_csv(videos.sparkSession, path), SPLIT_ROWS), rows, VIDEO, ["split"])
+    write_csv(stored(rows, "splits").orderBy(*VIDEO), path)
+
+
+def sequence_images(rows: DataFrame, frames: DataFrame, config: RunConfig) -> DataFrame:
+    """(sequence_id, name, image) of every frame of every sequence row; a repaired frame is the last valid one again."""
+    whole = gapless(frames, config).select(*VIDEO, "bin", "source")
+    wanted = rows.select("sequence_id", *VIDEO, F.posexplode(F.from_json("frame_paths", "array<string>")).alias("_k", "name"), "start_bin")
+    wanted = wanted.withColumn("bin", (F.col("start_bin") + F.col("_k")).cast("long")).join(whole, [*VIDEO, "bin"], "left")
+    return wanted.drop("bin").join(frames.select(*VIDEO, F.col("bin").alias("source"), "image"), [*VIDEO, "source"], "left").select("sequence_id", "name", "image")
 
 
 def write_images(images: DataFrame, folder: str, encode: Callable[[bytes], bytes] | None = None) -> DataFrame:
@@ -88,7 +112,7 @@ def write_parts(shards: DataFrame, files: DataFrame, folder: str, keys: list[str
 
 def plan_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A saved shard plan, or a new one that is saved."""
-    if not os.path.exists(os.path.join(path, "_SUCCESS")):
+    if not exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -107,8 +131,14 @@ def catalog_entry(manifest: DataFrame, listing: DataFrame, path: str, title: str
     return entry | told
 
 
-def release_flaws(summary_path: str, expected_videos: int) -> list[str]:
-    """Why a run isn't fit for release; empty if it is."""
+def release_flaws(summary_path: str, expected_videos: int, pid: int | None = None) -> list[str]:
+    """Why a run isn't fit for release; empty if it is. pid is the run's process, which has to have ended."""
+    if pid is not None:
+        try:
+            os.kill(pid, 0)
+            return ["the run has not ended"]
+        except ProcessLookupError:
+            pass
     if not os.path.exists(summary_path):
         return ["there is no summary"]
     with open(summary_path) as f:
@@ -117,6 +147,11 @@ def release_flaws(summary_path: str, expected_videos: int) -> list[str]:
     return flaws + ([f"{len(told['failed_videos'])} videos failed"] if told.get("failed_videos") else [])
 
 
+def normalised_pictures(load: Callable[[str], np.ndarray], size: int) -> Callable[[list[str]], np.ndarray]:
+    """A loader for training_batches: each picture read, resized and as numbers from 0 to 255, which is what the network takes."""
+    return lambda paths: np.stack([resize(np.asarray(load(p))[..., :3], size).astype(np.float32) for p in paths])
+
+
 def training_batches(rows: DataFrame, size: int, load: Callable[[list[str]], object], seed: int = 42, epoch: int = 0, shuffle: bool = True) -> Iterator[tuple[list, list]]:
     """Batches of loaded sequences and labels, in another seeded order each epoch; partitions are fetched one at a time."""
     ordered = rows.orderBy(F.xxhash64(F.lit(seed), F.lit(epoch), "paths"), "paths") if shuffle else rows

@@ -30,43 +30,47 @@ def split_videos(videos: DataFrame, config: RunConfig) -> DataFrame:
     return assign_split(named, "dataset_id", "group_id", "split_locked", "_given", seed=config.seed, ratios=config.ratios).drop("_given")
 
 
-def build_sequences(frames: DataFrame, config: RunConfig) -> DataFrame:
-    """(video_id, start_bin, ..., window_score): the accepted windows, the best of each stratum."""
-    bins = frames.select("video_id", "bin", "frame_index", "quality", "motion", "ssim")
-    whole = selection.repair_gaps(bins, "video_id", "bin", 1 / config.model_fps, config.max_repairs, ["frame_index", "quality", "motion", "ssim"], "frame_index")
-    whole = whole.withColumns(
+VIDEO = ["dataset_id", "video_id"]
+
+
+def gapless(frames: DataFrame, config: RunConfig) -> DataFrame:
+    """Every bin of every video with its state and the frame that stands in it; frames has a row without one for a last bin without."""
+    carried = ["frame_index", "quality", "motion", "ssim", "timestamp", "source"]
+    chosen = frames.where("frame_index IS NOT NULL").select(*VIDEO, "bin", "frame_index", "quality", "motion", "ssim", "timestamp", F.col("bin").alias("source"))
+    whole = selection.repair_gaps(chosen, VIDEO, "bin", 1 / config.model_fps, config.max_repairs, carried, "frame_index", frames.select(*VIDEO, "bin"))
+    missing, valid = F.col("state") == "missing", F.col("state") == "valid"
+    return whole.withColumns(
         {
-            "quality": F.when(F.col("state") == "missing", 0.0).otherwise(F.col("quality")),
-            "motion": F.when(F.col("state") == "valid", F.col("motion")).otherwise(0.0),
-            "ssim": F.when(F.col("state") == "repair", 1.0).when(F.col("state") == "valid", F.col("ssim")),
+            "quality": F.when(missing, 0.0).otherwise(F.col("quality")),
+            "motion": F.when(valid, F.col("motion")).otherwise(0.0),
+            "ssim": F.when(F.col("state") == "repair", 1.0).when(valid, F.col("ssim")),
+            "timestamp": F.when(valid, F.col("timestamp")).otherwise(F.col("bin_start")),
         }
     )
-    windows = sequences.sliding_windows(whole, "video_id", "bin", "state", "quality", "motion", "ssim", config.seq_len, config.window_hop, config.limits)
-    return sequences.stratified_top1(sequences.accepted(windows, config.limits), ["video_id"], ["start_bin"], "window_score", config.max_sequences_per_video)
 
 
-def manifest_rows(windows: DataFrame, videos: DataFrame, config: RunConfig) -> DataFrame:
-    """Sequence rows in the manifest's columns."""
+def build_sequences(frames: DataFrame, config: RunConfig) -> DataFrame:
+    """(dataset_id, video_id, start_bin, ..., window_score): the accepted windows, the best of each stratum."""
+    whole = gapless(frames, config)
+    windows = sequences.sliding_windows(whole, VIDEO, "bin", "state", "quality", "motion", "ssim", config.seq_len, config.window_hop, config.limits, {"timestamp": "time", "frame_index": "frame"})
+    return sequences.stratified_top1(sequences.accepted(windows, config.limits), VIDEO, ["start_bin"], "window_score", config.max_sequences_per_video)
+
+
+def sequence_rows(windows: DataFrame, videos: DataFrame, config: RunConfig) -> DataFrame:
+    """The windows with their videos' columns, ids, and the names of their pictures."""
     suffix = "jpg" if config.output_format.lower() in ("jpg", "jpeg") else "png"
-    rows = windows.join(videos, "video_id")
-    start, end = F.col("start_bin") / F.lit(config.model_fps), F.col("end_bin") / F.lit(config.model_fps)
-    rows = rows.withColumns({"start_time": start, "end_time": end, "pipeline_fingerprint": F.lit(config.fingerprint()), "seq_len": F.lit(config.seq_len)})
-    rows = rows.withColumn("sequence_id", sequence_id(F.col("dataset_id"), F.col("video_id"), fixed9("start_time"), fixed9("end_time"), F.col("seq_len"), F.col("pipeline_fingerprint")))
+    settings = {"seq_len": config.seq_len, "model_fps": float(config.model_fps), "image_size": config.image_size, "pipeline_fingerprint": config.fingerprint()}
+    rows = windows.join(videos, VIDEO).withColumns({k: F.lit(v) for k, v in settings.items()})
+    parts = [*VIDEO, "start_frame", "end_frame", "seq_len", "model_fps", "image_size"]
+    rows = rows.withColumn("sequence_id", sequence_id(*map(F.col, parts), fixed9("start_time"), fixed9("end_time"), F.col("pipeline_fingerprint")))
     names = F.transform(F.sequence(F.lit(0), F.lit(config.seq_len - 1)), lambda k: F.concat(F.col("sequence_id"), F.lit("/"), F.format_string(f"frame_%02d.{suffix}", k)))
-    rows = rows.withColumns(
-        {
-            "frame_paths": json_list(names),
-            "start_frame": F.col("start_bin"),
-            "end_frame": F.col("end_bin"),
-            "candidate_fps": F.lit(config.candidate_fps),
-            "model_fps": F.lit(config.model_fps),
-            "image_size": F.lit(config.image_size),
-            "image_format": F.lit(suffix),
-            "missing_face_ratio": F.col("missing_ratio"),
-            "pipeline_version": F.lit(VERSION),
-        }
-    )
-    return conformed(rows, SEQUENCES)
+    more = {"frame_paths": json_list(names), "candidate_fps": F.lit(config.candidate_fps), "image_format": F.lit(suffix), "missing_face_ratio": F.col("missing_ratio"), "pipeline_version": F.lit(VERSION)}
+    return rows.withColumns(more)
+
+
+def manifest_rows(windows: DataFrame, videos: DataFrame, config: RunConfig) -> DataFrame:
+    """Sequence rows in the manifest's columns."""
+    return conformed(sequence_rows(windows, videos, config), SEQUENCES)
 
 
 def write_json(payload: dict, path: str) -> None:
@@ -77,12 +81,13 @@ def write_json(payload: dict, path: str) -> None:
 
 
 def preprocess(
-    spark: SparkSession, config: RunConfig, decode, detector, existing: DataFrame | None = None, wanted: list[str] | None = None, max_videos: int | None = None, validate_only: bool = False, resume: bool = True, only=None
+    spark: SparkSession, config: RunConfig, decode, detector, existing: DataFrame | None = None, wanted: list[str] | None = None, max_videos: int | None = None, validate_only: bool = False, resume: bool = True, only=None, pictures=None
 ) -> tuple[DataFrame, dict]:
     """(manifest, summary). The fingerprint of an existing manifest is compared before anything is made.
 
     Videos that already have sequences under this fingerprint are left out if resume; videos that fail are listed in
-    the summary, or raise if the config says so. `only` narrows what is left to do.
+    the summary, or raise if the config says so. `only` narrows what is left to do. `pictures` is called with the new
+    rows and the frames before the manifest names them, to write what the rows refer to.
     """
     config.check()
     if max_videos is not None and max_videos <= 0:
@@ -105,7 +110,11 @@ def preprocess(
     failed = failures(frames)
     if failed and config.fail_on_video_error:
         raise RuntimeError(f"{len(failed)} videos failed: {failed[:3]}")
-    made = manifest_rows(build_sequences(frames.where("error IS NULL"), config), todo, config)
+    frames = frames.where("error IS NULL")
+    made = stored(sequence_rows(build_sequences(frames, config), todo, config), "sequences")
+    if pictures:
+        pictures(made, frames)
+    made = conformed(made, SEQUENCES)
     sort = ["split", "label", "dataset_id", "video_id", "start_time"]
     manifest = stored(upsert(existing, made, ["sequence_id"], ["start_time"], sort) if existing is not None else made.orderBy(*sort), "manifest")
     return manifest, summary(manifest, n + bad, bad, failed, print_)
@@ -113,7 +122,7 @@ def preprocess(
 
 def failures(frames: DataFrame) -> list[dict]:
     """Every video that failed, by its id; the summary names them all."""
-    return [r.asDict() for r in frames.where("error IS NOT NULL").select("video_id", "error").orderBy("video_id").collect()]
+    return [r.asDict() for r in frames.where("error IS NOT NULL").select(*VIDEO, "error").orderBy(*VIDEO).collect()]
 
 
 def preprocess_in_steps(spark: SparkSession, config: RunConfig, decode, detector, path: str, steps: int, **how) -> tuple[DataFrame, dict]:

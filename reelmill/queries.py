@@ -382,13 +382,8 @@ def _best(spark, sf):
 
 def _repaired(spark, sf):
     best = _best(spark, sf).select("user_id", "bin", "q")
-    ends = best.groupBy("user_id").agg(F.max("bin").alias("_end"))
-    whole = selection.repair_gaps(best.where("q >= 0.03"), "user_id", "bin", DAY, 1, ["q"]).select("user_id", "bin", "state", "q")
-    tail = whole.groupBy("user_id").agg(F.max("bin").alias("_last"), F.max_by("q", "bin").alias("_q")).join(ends, "user_id", "right").withColumn("_last", F.coalesce("_last", F.lit(-1)))
-    more = tail.where("_end > _last").select("user_id", F.explode(F.sequence(F.col("_last") + 1, F.col("_end"))).alias("bin"), "_last", "_q")
-    fixed = (F.col("_last") >= 0) & (F.col("bin") - F.col("_last") <= 1)
-    more = more.select("user_id", "bin", F.when(fixed, "repair").otherwise("missing").alias("state"), F.when(fixed, F.col("_q")).alias("q"))
-    return whole.unionByName(more).withColumn("quality", F.when(F.col("state") == "missing", 0.0).otherwise(F.col("q"))).drop("q")
+    whole = selection.repair_gaps(best.where("q >= 0.03"), "user_id", "bin", DAY, 1, ["q"], candidates=best)
+    return whole.select("user_id", "bin", "state", F.when(F.col("state") == "missing", 0.0).otherwise(F.col("q")).alias("quality"))
 
 
 def _bins(spark, sf):

@@ -21,8 +21,8 @@ SPLITS = ("train", "val", "test")
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with a header, every column text: "000" stays "000"."""
-    names = spark.read.option("header", True).csv(path).columns
-    return spark.read.schema(StructType([StructField(n, StringType()) for n in names])).option("header", True).csv(path)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    return reader.schema(StructType([StructField(n, StringType()) for n in reader.csv(path).columns])).csv(path)
 
 
 def _given(name: str, have: set[str]):

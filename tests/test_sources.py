@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reelmill.operators import export, graph, identity, manifest, splits, validate, vision
+from reelmill.operators import export, graph, identity, manifest, sequences, splits, validate, vision
 from reelmill.plans import config as settings
 from reelmill.plans import run as runs
 from reelmill.sources import lists, listing, manifests
@@ -203,7 +203,7 @@ def test_from_videos_to_a_manifest(spark, tmp_path):
     config = settings.RunConfig(({"id": "vcf", "adapter": "layout", "root": str(tmp_path)},), str(tmp_path / "out"), seq_len=8, window_hop=4, image_size=16, max_sequences_per_video=3)
     made, told = runs.preprocess(spark, config, decode, detector)
     rows = made.collect()
-    assert told["failed_videos"] == [{"video_id": "c23/deeplivecam/1x1/th/broken.mp4", "error": "OSError: cannot open"}]
+    assert told["failed_videos"] == [{"dataset_id": "vcf", "video_id": "c23/deeplivecam/1x1/th/broken.mp4", "error": "OSError: cannot open"}]
     assert {r["video_id"] for r in rows} == {"raw/targets/1x1/th/a.mp4", "raw/targets/1x1/th/b.mp4"} and len(rows) == 6
     assert all(len(json.loads(r["frame_paths"])) == 8 and r["pipeline_fingerprint"] == config.fingerprint() for r in rows)
     again, _ = runs.preprocess(spark, config, lambda p: 1 / 0, detector, existing=made.where("video_id like '%a.mp4'"))
@@ -216,6 +216,48 @@ def test_from_videos_to_a_manifest(spark, tmp_path):
         runs.preprocess(spark, dataclasses.replace(config, fail_on_video_error=True), decode, detector)
 
 
+def decode_tail(path):
+    """Faces (bright pictures) in the first 2.2 of 4 seconds only, frames numbered from 100 on; "x" has none at all."""
+    bright = 0 if path.endswith("x.mp4") else 66
+    rng = np.random.default_rng(len(path))
+    return 30.0, ((rng.integers(100, 255, (64, 64, 3), dtype=np.uint8) if i < bright else np.zeros((64, 64, 3), np.uint8), i / 30.0, 100 + i) for i in range(120))
+
+
+def detector_bright():
+    return lambda image: [(0.1, 0.1, 0.5, 0.5, 0.9)] if image.max() > 50 else []
+
+
+def test_sources_that_share_a_video_and_a_tail_without_faces(spark, tmp_path):
+    import uuid
+
+    touch(tmp_path, "one/raw/targets/1x1/th/a.mp4", "two/raw/targets/1x1/th/a.mp4", "two/raw/targets/1x1/th/x.mp4")
+    sources = tuple({"id": n, "adapter": "layout", "root": str(tmp_path / n)} for n in ("one", "two"))
+    limits = sequences.WindowLimits(max_missing=1.0, max_repair=1.0, max_duplicate=1.0, min_motion=0.0)
+    config = settings.RunConfig(sources, str(tmp_path / "out"), seq_len=4, window_hop=2, image_size=16, max_sequences_per_video=50, max_repairs=1, limits=limits)
+    videos, _ = manifests.discover(spark, list(sources))
+    frames = vision.chosen_frames(videos, decode_tail, detector_bright, config.video_settings()).cache()
+    bins = runs.gapless(frames, config).collect()
+    for v, valid in ((("one", "a"), 17), (("two", "a"), 17), (("two", "x"), 0)):  # 30 bins in 4 seconds
+        own = sorted((r["bin"], r["state"]) for r in bins if (r["dataset_id"], r["video_id"][-5]) == v)
+        assert own == [(b, "valid" if b < valid else "repair" if valid and b == valid else "missing") for b in range(30)]
+    made = runs.sequence_rows(runs.build_sequences(frames, config), videos.withColumn("split", F.lit("train")), config).collect()
+    assert {(r["dataset_id"], r["video_id"][-5]): len([x for x in made if (x["dataset_id"], x["video_id"]) == (r["dataset_id"], r["video_id"])]) for r in made} == {("one", "a"): 14, ("two", "a"): 14, ("two", "x"): 14}
+    at = {(r["dataset_id"], r["video_id"], r["bin"]): r for r in bins}
+    for r in made:
+        first, last = (at[r["dataset_id"], r["video_id"], r[c]] for c in ("start_bin", "end_bin"))
+        assert (r["start_time"], r["end_time"], r["start_frame"], r["end_frame"]) == (first["timestamp"], last["timestamp"], first["frame_index"], last["frame_index"])
+        assert r["start_frame"] == -1 or r["start_frame"] >= 100
+        parts = [r["dataset_id"], r["video_id"], first["frame_index"], last["frame_index"], 4, 7.5, 16, f"{first['timestamp']:.9f}", f"{last['timestamp']:.9f}", config.fingerprint()]
+        assert r["sequence_id"] == str(uuid.uuid5(uuid.NAMESPACE_URL, "|".join(map(str, parts))))
+    assert len({r["sequence_id"] for r in made}) == len(made)
+    with pytest.raises(ValueError, match="unsupported detector"):
+        vision.detector_named("other")
+    import dataclasses
+
+    with pytest.raises(ValueError, match="unsupported detector"):
+        dataclasses.replace(config, detector="other").check()
+
+
 def test_steps_and_the_command_line(spark, tmp_path, capsys):
     from reelmill.__main__ import main
 
@@ -228,6 +270,18 @@ def test_steps_and_the_command_line(spark, tmp_path, capsys):
     assert told["sequences"] == 4 and [f["video_id"] for f in told["failed_videos"]] == ["raw/targets/1x1/th/broken.mp4"]
     assert main(["run", *common, "--steps", "2"]) == 0 and runs.saved_manifest(spark, str(tmp_path / "out/manifest")).count() == 4
     assert main(["validate", str(tmp_path / "c.yaml")]) == 0
+    table = manifests.read_sequences(spark, str(tmp_path / "out/manifests/sequence_manifest.csv")).collect()
+    assert len(table) == 4 and all((tmp_path / "out/sequences" / p).exists() for r in table for p in json.loads(r["frame_paths"]))
+    assert manifests.read_csv(spark, str(tmp_path / "out/manifests/split_manifest.csv")).count() == 3
+    assert main(["check", str(tmp_path / "c.yaml"), "--allow-partial"]) == 0
+    with pytest.raises(ValueError, match="missing_split"):
+        main(["check", str(tmp_path / "c.yaml")])
+    os.remove(tmp_path / "out/sequences" / json.loads(table[0]["frame_paths"])[0])
+    with pytest.raises(ValueError, match="missing_file"):
+        main(["check", str(tmp_path / "c.yaml"), "--allow-partial"])
+    for wrong in (["--overwrite", "--resume"], ["--resume", "--no-resume"]):
+        with pytest.raises(SystemExit):
+            main(["run", *common, *wrong])
     with pytest.raises(SystemExit):
         main(["run", *common, "--overwrite", "--dataset", "vcf"])
 
