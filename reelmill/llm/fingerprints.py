@@ -213,7 +213,8 @@ def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, hel
     asked = stored(queries.select("_h0", "_h1").distinct(), "asked")
     n = asked.count()
     tasks = min(MAX_RUNS, max(prints.sparkSession.sparkContext.defaultParallelism, prints.count() // TASK_PRINTS))
-    distinct = prints.repartition(tasks, "_h0", "_h1").groupBy("_h0", "_h1").agg(F.count("*").alias("_rows"))
+    # Copies are counted before they travel; then the distinct ones are dealt evenly.
+    distinct = prints.groupBy("_h0", "_h1").agg(F.count("*").alias("_rows")).repartition(tasks)
     parts = max(1, -(-n // held))
     distinct = stored(distinct, "distinct") if parts > 1 else distinct
     found = []
