@@ -76,6 +76,11 @@ def next_fit_shards(groups: DataFrame, split: str, dataset: str, group: str, siz
     return ordered.mapInPandas(fill, ", ".join(f"{k} {v}" for k, v in kinds.items()) + ", part long")
 
 
+def shard_table(shards: DataFrame) -> DataFrame:
+    """(part, split, groups, bytes): a row for each shard of a plan."""
+    return shards.groupBy("part", "split").agg(F.count("*").alias("groups"), F.sum("bytes").alias("bytes"))
+
+
 def shard_rows(manifest: DataFrame, plan: DataFrame, part: int, keys: list[str]) -> DataFrame:
     """The rows of a manifest that belong to one shard of a plan."""
     return manifest.join(plan.where(F.col("part") == part).select(*keys), keys, "left_semi")

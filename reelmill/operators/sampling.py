@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,16 +15,26 @@ def repaired_timestamps(frames: DataFrame, item: str, index: str, fps: str, cont
     """One row per frame: item, index, out.
 
     A frame stands at index / fps (30 for a rate of zero or less), or where its container clock says if that is not
-    negative and later than the time chosen for the frame before. A fold over the item's frames, as each choice
-    depends on the last one.
+    negative and later than the time chosen for the frame before. As each choice depends on the last one, a task walks
+    through the sorted frames of its items and holds one number, however long an item is.
     """
     rate = F.when(F.coalesce(F.col(fps), F.lit(0.0)) > 0, F.col(fps)).otherwise(F.lit(DEFAULT_FPS)).cast("double")
-    row = F.struct(F.col(index).cast("long").alias("i"), (F.col(index) / rate).alias("t"), F.col(container).cast("double").alias("c"))
-    folded = frames.groupBy(item).agg(F.array_sort(F.collect_list(row)).alias("_f"))
-    taken = "r.c >= 0 AND (size(acc) = 0 OR r.c > element_at(acc, -1).t)" if use_container else "false"
-    step = f"""aggregate(_f, cast(array() AS array<struct<i: bigint, t: double>>),
-        (acc, r) -> concat(acc, array(struct(r.i AS i, CASE WHEN {taken} THEN r.c ELSE r.t END AS t))))"""
-    return folded.select(item, F.explode(F.expr(step)).alias("_r")).select(item, F.col("_r.i").alias(index), F.col("_r.t").alias(out))
+    clock = F.col(container).cast("double") if use_container else F.lit(None).cast("double")
+    rows = frames.select(item, F.col(index).cast("long").alias(index), (F.col(index) / rate).alias("_t"), clock.alias("_c"))
+    kind = rows.schema[item].dataType.simpleString()
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, last = None, None
+        for batch in batches:
+            times = []
+            for v, t, c in zip(batch[item].tolist(), batch["_t"].tolist(), batch["_c"].tolist(), strict=True):
+                if v != of:
+                    of, last = v, None
+                last = c if c >= 0 and (last is None or c > last) else t  # a null clock is never >= 0
+                times.append(last)
+            yield batch[[item, index]].assign(**{out: times})
+
+    return rows.repartition(item).sortWithinPartitions(item, index).mapInPandas(walk, f"{item} {kind}, {index} long, {out} double")
 
 
 def rate_sample(frames: DataFrame, item: str, index: str, time: str, interval: float, candidate: str = "candidate_id") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,24 +43,33 @@ def fold_select(rows: DataFrame, item: str, bin_: str, order: str, time: str, qu
 
     `look` is a number in 0..1 that stands for the picture: similarity to the last chosen one is one minus the
     difference. A candidate's motion is one minus that (0 for the first), so what wins a bin depends on all bins
-    before it; a fold over the item's candidates in the order of bins, native and without state outside its row.
+    before it: a task walks through the sorted candidates of its items and holds the best of the open bin and the last
+    chosen one, however long an item is.
     """
-    row = F.struct(F.col(bin_).alias("b"), F.col(order).cast("long").alias("o"), F.col(time).alias("t"), F.col(quality).alias("q"), F.col(look).alias("l"))
-    folded = rows.groupBy(item).agg(F.array_sort(F.collect_list(row)).alias("_f"))
-    kind = "struct<b: bigint, o: bigint, s: double, m: double, l: double>"
-    motion = "CASE WHEN acc.last IS NULL THEN 0D ELSE greatest(0D, abs(r.l - acc.last)) END"
-    score = f"""({QUALITY_WEIGHT}D * r.q + {MOTION_WEIGHT}D * least(({motion}) / {FULL_MOTION}D, 1D)
-        + {CENTER_WEIGHT}D * greatest(0D, 1D - abs(r.t - (r.b + 0.5D) * {float(interval)}D) / {interval / 2}D))"""
-    won = f"struct(r.b AS b, r.o AS o, {score} AS s, {motion} AS m, r.l AS l)"
-    # acc: what is chosen of closed bins, the best of the open one, and the look of the last chosen of a closed bin.
-    step = f"""aggregate(_f, named_struct('done', cast(array() AS array<{kind}>), 'best', cast(null AS {kind}), 'last', cast(null AS double)),
-        (acc0, r) -> aggregate(array(CASE WHEN acc0.best IS NOT NULL AND acc0.best.b < r.b
-                THEN named_struct('done', concat(acc0.done, array(acc0.best)), 'best', cast(null AS {kind}), 'last', acc0.best.l)
-                ELSE acc0 END), acc0, (unused, acc) -> CASE WHEN acc.best IS NULL OR {score} > acc.best.s
-                THEN named_struct('done', acc.done, 'best', {won}, 'last', acc.last) ELSE acc END),
-        acc -> CASE WHEN acc.best IS NULL THEN acc.done ELSE concat(acc.done, array(acc.best)) END)"""
-    out = folded.select(item, F.explode(F.expr(step)).alias("_r"))
-    return out.select(item, F.col("_r.b").alias(bin_), F.col("_r.o").alias(order), F.col("_r.s").alias("score"), F.col("_r.m").alias("motion"))
+    rows = rows.select(item, F.col(bin_).cast("long").alias(bin_), F.col(order).cast("long").alias(order), *(F.col(c).cast("double").alias(f"_{c}") for c in dict.fromkeys((time, quality, look))))
+    kind = rows.schema[item].dataType.simpleString()
+    names_ = [item, bin_, order, "score", "motion"]
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, last, best = None, None, None  # best: (item, bin, order, score, motion), and its look
+        for batch in batches:
+            out = []
+            cells = (batch[c].tolist() for c in (item, bin_, order, f"_{time}", f"_{quality}", f"_{look}"))
+            for v, b, o, t, q, here in zip(*cells, strict=True):
+                if best and (v != of or b != best[0][1]):
+                    out.append(best[0])
+                    last, best = best[1], None
+                if v != of:
+                    of, last = v, None
+                motion = 0.0 if last is None else abs(here - last)
+                score = QUALITY_WEIGHT * q + MOTION_WEIGHT * min(motion / FULL_MOTION, 1.0) + CENTER_WEIGHT * max(0.0, 1 - abs(t - (b + 0.5) * interval) / (interval / 2))
+                if best is None or score > best[0][3]:
+                    best = ((v, b, o, score, motion), here)
+            yield pd.DataFrame(out, columns=names_)
+        if best:
+            yield pd.DataFrame([best[0]], columns=names_)
+
+    return rows.repartition(item).sortWithinPartitions(item, bin_, order).mapInPandas(walk, f"{item} {kind}, {bin_} long, {order} long, score double, motion double")
 
 
 def repair_gaps(

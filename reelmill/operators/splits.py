@@ -73,12 +73,17 @@ def mixed_locks(rows: DataFrame, dataset: str, locked: str) -> DataFrame:
     return rows.groupBy(dataset).agg(F.countDistinct(locked).alias("n_states")).where("n_states > 1").select(dataset)
 
 
+def repeated_videos(rows: DataFrame, dataset: str = "dataset_id", video: str = "video_id") -> DataFrame:
+    """(dataset, video, n) of every video that has several rows."""
+    return rows.groupBy(dataset, video).agg(F.count("*").alias("n")).where("n > 1")
+
+
 def check_splits(rows: DataFrame, dataset: str = "dataset_id", group: str = "group_id", video: str = "video_id", split: str = "split", locked: str = "split_locked") -> None:
     """Raises on the first rule that rows break: mixed locks, a given group in two splits, a repeated video."""
     rules = [
         ("datasets mix given and made splits", mixed_locks(rows, dataset, locked)),
         ("groups in several splits", leaking_groups(rows.where(F.col(locked)), [dataset, group], split)),
-        ("repeated videos", rows.groupBy(dataset, video).agg(F.count("*").alias("n")).where("n > 1")),
+        ("repeated videos", repeated_videos(rows, dataset, video)),
     ]
     for what, found in rules:
         if some := found.limit(5).collect():

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelmill.operators.summary import counts_by
+
 REQUIRED = ("sequence_id", "dataset_id", "video_id", "group_id", "label", "split", "frame_paths", "seq_len", "pipeline_fingerprint")
 SPLITS = ("train", "val", "test")
 
@@ -49,11 +51,19 @@ def violations(manifest: DataFrame, listing: DataFrame | None = None, require_al
     return found
 
 
+def totals(manifest: DataFrame) -> DataFrame:
+    """(what, value, n): sequences and videos of the whole manifest, rows of each dataset and of each split."""
+    whole = manifest.agg(F.count("*").alias("s"), F.countDistinct("dataset_id", "video_id").alias("v"))
+    whole = whole.select(F.explode(F.array(*(F.struct(F.lit(w).alias("what"), F.lit("").alias("value"), F.col(c).alias("n")) for w, c in (("sequences", "s"), ("videos", "v"))))).alias("r")).select("r.*")
+    return whole.unionByName(counts_by(manifest, ["dataset_id", "split"]).select(F.col("dim").alias("what"), "value", "n"))
+
+
 def require_valid(manifest: DataFrame, listing: DataFrame | None = None, require_all_splits: bool = True) -> dict:
     """Raises with every broken rule in one message; otherwise rows, videos, datasets and rows of each split."""
     broken = {r["rule"]: r["violations"] for r in violations(manifest, listing, require_all_splits).where("violations > 0").collect()}
     if broken:
         raise ValueError("manifest breaks rules: " + "; ".join(f"{k} ({v})" for k, v in sorted(broken.items())))
-    head = manifest.agg(F.count("*").alias("n"), F.countDistinct("dataset_id", "video_id").alias("v"), F.array_sort(F.collect_set("dataset_id")).alias("d")).first()
-    splits = {r["split"]: r["count"] for r in manifest.groupBy("split").count().orderBy("split").collect()}
-    return {"sequences": head["n"], "videos": head["v"], "datasets": list(head["d"]), "splits": splits}
+    told: dict = {}
+    for r in totals(manifest).orderBy("what", "value").collect():
+        told.setdefault(r["what"], {})[r["value"]] = r["n"]
+    return {"sequences": told["sequences"][""], "videos": told["videos"][""], "datasets": list(told["dataset_id"]), "splits": told["split"]}

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.operators.export import write_archives
+from reelmill.operators.export import shard_table, write_archives
 from reelmill.operators.manifest import conformed, upsert
 from reelmill.operators.validate import require_valid
 from reelmill.operators.vision import resize
@@ -119,8 +119,8 @@ def plan_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
 
 def shard_plan(shards: DataFrame, target: int) -> dict:
     """The plan as a document: its shards, and their groups and bytes."""
-    rows = shards.groupBy("part", "split").agg(F.count("*").alias("groups"), F.sum("bytes").alias("bytes")).orderBy("part").collect()
-    return {"target_bytes": target, "shards": [r.asDict() for r in rows], "total_bytes": sum(r["bytes"] for r in rows), "groups": sum(r["groups"] for r in rows)}
+    rows = [r.asDict() for r in shard_table(shards).orderBy("part").collect()]
+    return {"target_bytes": target, "shards": rows, "total_bytes": sum(r["bytes"] for r in rows), "groups": sum(r["groups"] for r in rows)}
 
 
 def catalog_entry(manifest: DataFrame, listing: DataFrame, path: str, title: str, identifier: str, licence: str = "other") -> dict:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmill.functions import paths
 from reelmill.operators import export, graph, identity, manifest, sampling, selection, sequences, splits, summary, validate, vision
 from reelmill.schemas import SPLIT_ROWS
-from reelmill.sources import lists, manifests
+from reelmill.sources import listing, lists, manifests
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -216,10 +217,123 @@ def all_ids_one_split(spark, sf):
     return lists.one_split(rows, "l_orderkey", "ids", known)
 
 
-@query("SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+_CLASSES = "k AS (SELECT r_name AS folder, r_regionkey::INT % 2 AS label, CASE WHEN r_regionkey % 2 = 0 THEN 'real' ELSE 'fake' END AS class_name FROM region WHERE r_regionkey < 4)"
+
+
+@query(f"""WITH {_CLASSES} SELECT r_name || '/' || n_name || '/' || c_custkey || '.mp4' AS path, folder, label, class_name
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN k ON folder = r_name""")
 def dimension_join(spark, sf):
-    nation = _table(spark, sf, "nation").join(F.broadcast(_table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))  # 5 and 25 rows at any scale
-    return _table(spark, sf, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name", "r_name")
+    region = _table(spark, sf, "region")  # five rows at any scale, and 25 of nation
+    nation = _table(spark, sf, "nation").join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    files = _table(spark, sf, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat("r_name", F.lit("/"), "n_name", F.lit("/"), "c_custkey", F.lit(".mp4")).alias("path"))
+    classes = region.where("r_regionkey < 4").select(F.col("r_name").alias("folder"), F.expr("cast(r_regionkey % 2 AS int)").alias("label"), F.expr("CASE WHEN r_regionkey % 2 = 0 THEN 'real' ELSE 'fake' END").alias("class_name"))
+    return listing.with_class(files, classes, "path")
+
+
+@query("""
+    SELECT s.page_id, path, n_chars AS bytes FROM (SELECT page_id, 'd' || (page_id * 3) AS path FROM pages) s LEFT JOIN (SELECT 'd' || doc_id AS path, n_chars FROM documents) f USING (path)
+""")
+def file_sizes(spark, sf):
+    files = _table(spark, sf, "documents").select(F.expr("concat('d', doc_id)").alias("path"), F.col("n_chars").alias("bytes"))
+    return listing.join_sizes(_table(spark, sf, "pages").select("page_id", F.expr("concat('d', page_id * 3)").alias("path")), files, "path")
+
+
+@query("""
+    SELECT lang AS dataset_id, doc_id::VARCHAR AS video_id, CASE WHEN l.doc_id IS NULL THEN 'missing file' ELSE '' END AS error FROM documents LEFT JOIN labels l USING (doc_id)
+""")
+def missing_video_files(spark, sf):
+    videos = _table(spark, sf, "documents").select(F.col("lang").alias("dataset_id"), F.col("doc_id").cast("string").alias("path"))
+    good, bad = manifests.present(videos, _table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("path")))
+    return good.withColumn("error", F.lit("")).unionByName(bad).withColumnRenamed("path", "video_id")
+
+
+# -- lists and sources ----------------------------------------------------------------------------------------------
+
+_LINES = """CASE doc_id % 12 WHEN 0 THEN '  ' WHEN 1 THEN '2 a.mp4' WHEN 2 THEN 'x' WHEN 3 THEN ' 1   s/d' || doc_id || '.mp4  ' WHEN 4 THEN '0 s/e' || (doc_id // 24) || '.mp4'
+    WHEN 5 THEN '1 a b' ELSE '0' || chr(9) || source || '/' || doc_id || '.mp4' END"""
+
+
+@query(rf"""
+    WITH l AS (SELECT trim({_LINES}) AS line FROM documents), p AS (SELECT regexp_split_to_array(line, '\s+') AS p FROM l WHERE line <> ''),
+    r AS (SELECT try_cast(p[1] AS INT) AS label, p[2] AS path, len(p) AS n FROM p)
+    SELECT label, path, CASE WHEN n <> 2 OR label IS NULL OR label NOT IN (0, 1) THEN 'malformed' WHEN path IS NOT NULL AND count(*) OVER (PARTITION BY path) > 1 THEN 'repeated' END AS error FROM r
+""")
+def list_rows(spark, sf):
+    return lists.test_list_rows(_table(spark, sf, "documents").select(F.expr(_LINES.replace("//", "div")).alias("value")))
+
+
+@query("SELECT doc_id, l.doc_id IS NOT NULL AS is_test FROM documents LEFT JOIN labels l USING (doc_id)")
+def test_membership(spark, sf):
+    return lists.marked(_table(spark, sf, "documents").select("doc_id"), _table(spark, sf, "labels").select("doc_id"), "doc_id")
+
+
+@query("SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def listed_but_absent(spark, sf):
+    return lists.absent(_table(spark, sf, "documents"), _table(spark, sf, "labels"), "doc_id")
+
+
+_PAIRS = "SELECT CASE c_nationkey % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END AS split, c_custkey::VARCHAR AS a, (c_custkey + 7)::VARCHAR AS b FROM customer"
+
+
+def _canonical(spark, sf):
+    pairs = _table(spark, sf, "customer").select(F.expr("CASE c_nationkey % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END").alias("split"), F.expr("concat('[\"', c_custkey, '\", \"', c_custkey + 7, '\"]')").alias("p"))
+    # One cell for each nation's worth of pairs, as a canonical split file would hold them.
+    cells = pairs.groupBy("split", F.pmod(F.xxhash64("p"), F.lit(64))).agg(F.concat(F.lit("["), F.array_join(F.collect_list("p"), ", "), F.lit("]")).alias("value"))
+    return lists.ids_of_pairs(cells, "value", "split")
+
+
+@query(f"WITH p AS ({_PAIRS}) SELECT a AS id, split FROM p UNION SELECT b, split FROM p")
+def canonical_ids(spark, sf):
+    return _canonical(spark, sf)
+
+
+@query(f"WITH p AS ({_PAIRS}) SELECT id, count(DISTINCT split) AS n FROM (SELECT a AS id, split FROM p UNION SELECT b, split FROM p) GROUP BY id HAVING count(DISTINCT split) > 1")
+def canonical_conflicts(spark, sf):
+    return lists.ids_in_several(_canonical(spark, sf))
+
+
+_META = "CASE p_size % 4 WHEN 0 THEN 'original' WHEN 1 THEN 'Deepfakes' WHEN 2 THEN 'FaceSwap' ELSE 'Other' END"
+
+
+@query(f"""
+    WITH m AS (SELECT {_META} || '/' || p_partkey || CASE WHEN p_size % 4 = 0 THEN '' ELSE '_' || (p_partkey + 1) END || '.mp4' AS path, p_size * 10 AS w, p_size + 100 AS h FROM part)
+    SELECT path, lower(string_split(path, '/')[1]) AS gen_method, w || 'x' || h AS resolution, array_to_string(string_split(regexp_replace(string_split(path, '/')[-1], '\\.mp4$', ''), '_'), ',') AS ids
+    FROM m WHERE path NOT LIKE 'Other/%'
+""".replace("\\\\", "\\"))
+def metadata_rows(spark, sf):
+    name = F.concat(F.expr(_META), F.lit("/"), F.col("p_partkey").cast("string"), F.when(F.col("p_size") % 4 == 0, "").otherwise(F.concat(F.lit("_"), (F.col("p_partkey") + 1).cast("string"))), F.lit(".mp4"))
+    meta = _table(spark, sf, "part").select(name.alias("File Path"), (F.col("p_size") * 10).alias("Width"), (F.col("p_size") + 100).alias("Height"))
+    return lists.metadata_rows(meta, ("original", "deepfakes", "faceswap")).withColumn("ids", F.array_join("ids", ","))
+
+
+@query("""
+    WITH u AS (SELECT 'docs' AS dataset_id, doc_id::VARCHAR AS video_id, source AS group_id, lang AS path FROM documents UNION ALL SELECT 'pages', page_id::VARCHAR, '', url FROM pages)
+    SELECT dataset_id, video_id, group_id, path, '' AS split, false AS split_locked FROM u
+""")
+def source_union(spark, sf):
+    docs = _table(spark, sf, "documents").select(F.lit("docs").alias("dataset_id"), "doc_id", F.col("doc_id").alias("video_id"), F.col("source").alias("group_id"), F.col("lang").alias("path"))
+    pages = _table(spark, sf, "pages").select(F.lit("pages").alias("dataset_id"), F.col("page_id").alias("video_id"), F.col("url").alias("path"))
+    known = {"docs": docs, "pages": pages, "other": pages.withColumn("dataset_id", F.lit("other"))}
+    return manifests.united([known[n] for n in manifests.selected(list(known), ["Pages", "DOCS", "pages"])]).select("dataset_id", "video_id", "group_id", "path", "split", "split_locked")
+
+
+@query("SELECT event_type AS dataset_id, user_id AS video_id, count(*) AS n FROM events GROUP BY ALL HAVING count(*) > 1")
+def repeated_videos(spark, sf):
+    return splits.repeated_videos(_table(spark, sf, "events").select(F.col("event_type").alias("dataset_id"), F.col("user_id").alias("video_id")))
+
+
+@query("""
+    SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '/' || url ELSE '/data/in/' || url END AS absolute, printf('frame_%02d.%s', page_id % 130, CASE page_id % 3 WHEN 0 THEN 'png' ELSE 'jpg' END) AS frame,
+        printf('jpeg%d_%dseq', page_id % 100, page_id % 7) AS profile, printf('%s_part%03d.zip', 'p' || page_id, page_id % 1200) AS archive FROM pages
+""")
+def file_names(spark, sf):
+    k = F.col("page_id")
+    path = F.when(k % 2 == 0, F.concat(F.lit("/"), F.col("url"))).otherwise(F.col("url"))
+    suffix = F.when(k % 3 == 0, "PNG").when(k % 3 == 1, "jpeg").otherwise("JPG")
+    return _table(spark, sf, "pages").select(
+        "page_id", paths.absolute(path, "/data/in/").alias("absolute"), paths.frame_name(k % 130, suffix).alias("frame"), paths.profile_name(k % 100, k % 7).alias("profile"),
+        export.archive_name(F.concat(F.lit("p"), k.cast("string")), k % 1200).alias("archive"),
+    )
 
 
 # -- aggregates -----------------------------------------------------------------------------------------------------
@@ -303,6 +417,16 @@ def ssim_motion(spark, sf):
     return m.select("label", "vec_id", F.round("ssim", 6).alias("ssim"), F.when(F.col("ssim").isNotNull(), F.round("motion", 6)).alias("motion"))
 
 
+@query(f"""WITH {_PIXELS}, c AS (SELECT vec_id, y, x, round(least(greatest(p, 0), 255)) AS p FROM p), m AS (SELECT vec_id, y // 2 AS y, x // 2 AS x, round_even(avg(p), 0)::BIGINT AS p FROM c GROUP BY ALL)
+    SELECT vec_id, string_agg(p::VARCHAR, ',' ORDER BY y, x) AS pixels FROM m GROUP BY vec_id""")
+def half_size(spark, sf):
+    @F.pandas_udf("string")
+    def halved(px):
+        return px.map(lambda p: ",".join(map(str, vision.resize(np.rint(np.clip(np.reshape(p, (8, 8)), 0, 255)).astype(np.uint8), 4).ravel().tolist())))
+
+    return _pictures(spark, sf).select("vec_id", halved("px").alias("pixels"))
+
+
 def _boxes(spark, sf):
     return _table(spark, sf, "part").select(
         "p_partkey", F.lit(640).alias("width"), F.lit(360).alias("height"),
@@ -452,6 +576,20 @@ def window_accept(spark, sf):
     return _rounded(sequences.accepted(_windows(spark, sf), _LIMITS))
 
 
+@query(f"""WITH {_WINDOWS}, ed AS (SELECT bs.user_id, bs.bin, bs.t, bs.i FROM bs WHERE bs.q >= 0.03::DOUBLE),
+    fl AS (SELECT ft.user_id, ft.bin, ft.state, coalesce(t, ft.bin * 86400.0::DOUBLE) AS t, CASE WHEN ft.state = 'missing' THEN -1 ELSE last_value(i IGNORE NULLS) OVER w END AS i FROM ft LEFT JOIN ed USING (user_id, bin)
+        WINDOW w AS (PARTITION BY user_id ORDER BY ft.bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    SELECT ac.user_id, start_bin, round(a.t, 6) AS start_time, round(z.t, 6) AS end_time, a.i AS start_frame, z.i AS end_frame
+    FROM ac JOIN fl a ON a.user_id = ac.user_id AND a.bin = start_bin JOIN fl z ON z.user_id = ac.user_id AND z.bin = start_bin + 5""")
+def window_ends(spark, sf):
+    best = _best(spark, sf).select("user_id", "bin", "q", "t", "i")
+    whole = selection.repair_gaps(best.where("q >= 0.03"), "user_id", "bin", DAY, 1, ["i", "t"], "i", best.select("user_id", "bin"))
+    ends = whole.select("user_id", "bin", "i", F.when(F.col("state") == "valid", F.col("t")).otherwise(F.col("bin_start")).alias("t"))
+    bins = _bins(spark, sf).join(ends, ["user_id", "bin"])
+    windows = sequences.sliding_windows(bins, ["user_id"], "bin", "state", "quality", "motion", "ssim", 6, 2, _LIMITS, {"t": "time", "i": "frame"})
+    return sequences.accepted(windows, _LIMITS).select("user_id", "start_bin", F.round("start_time", 6).alias("start_time"), F.round("end_time", 6).alias("end_time"), "start_frame", "end_frame")
+
+
 @query("""
     WITH r AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS i, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders),
     b AS (SELECT *, unnest(range(6)) AS k FROM r),
@@ -545,41 +683,68 @@ def reindex_union(spark, sf):
     return manifest.conformed(rows, SPLIT_ROWS)
 
 
-@query("SELECT DISTINCT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
 def set_difference(spark, sf):
-    return manifest.missing_keys(_table(spark, sf, "customer"), _table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return manifest.missing_keys(_table(spark, sf, "documents"), _table(spark, sf, "labels"), ["doc_id"])
+
+
+@query(f"""WITH RECURSIVE {_BYTES}, o AS (SELECT *, CASE split WHEN 'train' THEN 0 WHEN 'val' THEN 1 WHEN 'test' THEN 2 ELSE 99 END AS r FROM b),
+    k AS (SELECT *, row_number() OVER (ORDER BY r, lang, source) AS n FROM o),
+    f AS (SELECT n, split, bytes, bytes AS used, 0::BIGINT AS part FROM k WHERE n = 1
+        UNION ALL SELECT k.n, k.split, k.bytes, CASE WHEN k.split <> f.split OR f.used + k.bytes > 60000 THEN k.bytes ELSE f.used + k.bytes END,
+            CASE WHEN k.split <> f.split OR f.used + k.bytes > 60000 THEN f.part + 1 ELSE f.part END FROM f JOIN k ON k.n = f.n + 1)
+    SELECT part, split, count(*) AS groups, sum(bytes)::BIGINT AS bytes FROM f GROUP BY part, split""")
+def shard_totals(spark, sf):
+    return export.shard_table(next_fit_shards(spark, sf))
+
+
+@query("""
+    WITH r AS (SELECT l_orderkey, l_linenumber, l_suppkey % 7 AS ds, l_partkey AS v, l_shipdate, l_extendedprice, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY l_suppkey % 7, l_partkey) AS n
+            FROM lineitem WINDOW w AS (PARTITION BY l_suppkey % 7, l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey)),
+    c AS (SELECT *, CASE WHEN n <= 3 THEN i ELSE k END AS chunk FROM (SELECT *, unnest(range(3)) AS k FROM r) WHERE (n <= 3 AND k = 0) OR (n > 3 AND i >= floor(k * (n / 3.0::DOUBLE)) AND i < floor((k + 1) * (n / 3.0::DOUBLE)))),
+    t AS (SELECT *, row_number() OVER (PARTITION BY ds, v, chunk ORDER BY l_extendedprice DESC, i) AS best FROM c)
+    SELECT ds, v, l_orderkey, l_linenumber FROM t WHERE best = 1
+""")
+def manifest_stratified(spark, sf):
+    rows = _table(spark, sf, "lineitem").withColumns({"ds": F.col("l_suppkey") % 7, "v": F.col("l_partkey")})
+    return sequences.stratified_top1(rows, ["ds", "v"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey"], "l_extendedprice", 3).select("ds", "v", "l_orderkey", "l_linenumber")
+
+
+@query(f"""WITH {_SPLIT}, o AS (SELECT o_orderkey, s.ds, s.grp, s.split FROM orders JOIN s ON o_orderpriority = s.ds AND o_custkey = s.grp)
+    SELECT * FROM o ORDER BY ds, o_orderkey LIMIT 100""")
+def limited_after_split(spark, sf):
+    return splits.assign_split(_orders(spark, sf).select("o_orderkey", "ds", "grp"), "ds", "grp").orderBy("ds", "o_orderkey").limit(100)
 
 
 # -- graph and identity ---------------------------------------------------------------------------------------------
 
-_EDGES = "e AS (SELECT DISTINCT o_custkey AS a, (o_orderkey * 7) % 1000 AS b FROM orders WHERE o_orderkey % 12 = 0 AND o_custkey < 1000)"
-_REACH = f"""{_EDGES}, y AS (SELECT a, b FROM e UNION SELECT b, a FROM e), v AS (SELECT DISTINCT o_custkey AS node FROM orders WHERE o_custkey < 1000 UNION SELECT b FROM e),
-    z AS (SELECT node, node AS other FROM v UNION SELECT z.node, y.b FROM z JOIN y ON z.other = y.a), c AS (SELECT node, min(other) AS component FROM z GROUP BY node),
+# Every document is a node; documents of one length form a chain in the order of their ids, so what is reached is known.
+_REACH = """c AS (SELECT doc_id AS node, min(doc_id) OVER (PARTITION BY n_chars) AS component FROM documents),
     n AS (SELECT component, 'identity-component/' || string_agg(node::VARCHAR, '-' ORDER BY node::VARCHAR) AS name FROM c GROUP BY component)"""
 
 
 def _components(spark, sf):
-    o = _table(spark, sf, "orders").where("o_custkey < 1000")
-    edges = o.where("o_orderkey % 12 = 0").select(F.col("o_custkey").alias("a"), F.expr("(o_orderkey * 7) % 1000").alias("b"))
-    nodes = o.select(F.col("o_custkey").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
-    return graph.named_components(nodes, edges)
+    from pyspark.sql import Window
 
+    docs = _table(spark, sf, "documents")
+    before = F.lag("doc_id").over(Window.partitionBy("n_chars").orderBy("doc_id"))
+    return graph.named_components(docs.select(F.col("doc_id").alias("node")), docs.select(F.col("doc_id").alias("a"), before.alias("b")))
 
-@query(f"WITH RECURSIVE {_REACH} SELECT node, component, sha256(name) AS name FROM c JOIN n USING (component)")
+
+@query(f"WITH {_REACH} SELECT node, component, sha256(name) AS name FROM c JOIN n USING (component)")
 def components(spark, sf):
     return _components(spark, sf).withColumn("name", F.sha2("name", 256))
 
 
-@query(rf"""WITH RECURSIVE {_REACH}, r AS (SELECT o_orderkey, 'Set/A' || o_orderkey || '.MP4' AS path, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END AS first,
-        CASE WHEN o_orderkey % 10 = 0 THEN 'test' ELSE 'train' END AS split FROM orders)
-    SELECT o_orderkey, sha256(CASE WHEN split = 'test' THEN 'official-test/' || lower('Set/A' || o_orderkey) ELSE coalesce(name, lower('Set/A' || o_orderkey)) END) AS group_id
+@query(rf"""WITH {_REACH}, r AS (SELECT doc_id, 'Set/A' || doc_id || '.MP4' AS path, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id END AS first, CASE WHEN doc_id % 10 = 0 THEN 'test' ELSE 'train' END AS split FROM documents)
+    SELECT doc_id, sha256(CASE WHEN split = 'test' THEN 'official-test/' || lower('Set/A' || doc_id) ELSE coalesce(name, lower('Set/A' || doc_id)) END) AS group_id
     FROM r LEFT JOIN c ON c.node = r.first LEFT JOIN n USING (component)""")
 def component_groups(spark, sf):
-    rows = _table(spark, sf, "orders").select(
-        "o_orderkey", F.expr("concat('Set/A', o_orderkey, '.MP4')").alias("path"), F.expr("CASE WHEN o_orderkey % 3 = 0 THEN array() ELSE array(o_custkey) END").alias("tokens"),
-        F.expr("CASE WHEN o_orderkey % 10 = 0 THEN 'test' ELSE 'train' END").alias("split"),
+    rows = _table(spark, sf, "documents").select(
+        "doc_id", F.expr("concat('Set/A', doc_id, '.MP4')").alias("path"), F.expr("CASE WHEN doc_id % 3 = 0 THEN array() ELSE array(doc_id) END").alias("tokens"),
+        F.expr("CASE WHEN doc_id % 10 = 0 THEN 'test' ELSE 'train' END").alias("split"),
     )
-    return graph.group_ids(rows, _components(spark, sf), "tokens", "path", "split").select("o_orderkey", F.sha2("group_id", 256).alias("group_id"))
+    return graph.group_ids(rows, _components(spark, sf), "tokens", "path", "split").select("doc_id", F.sha2("group_id", 256).alias("group_id"))
 
 
 @query("""
@@ -635,6 +800,21 @@ def validation_report(spark, sf):
     return validate.violations(_sequence_rows(spark, sf), listing)
 
 
+@query("""
+    SELECT 'sequences' AS what, '' AS value, count(*) AS n FROM orders UNION ALL SELECT 'videos', '', count(DISTINCT (o_orderpriority, o_custkey)) FROM orders
+    UNION ALL SELECT 'dataset_id', o_orderpriority, count(*) FROM orders GROUP BY 2
+    UNION ALL SELECT 'split', CASE WHEN o_orderkey % 37 = 0 THEN 'dev' WHEN o_custkey % 5 = 0 THEN 'val' ELSE 'train' END, count(*) FROM orders GROUP BY 2
+""")
+def validation_totals(spark, sf):
+    return validate.totals(_sequence_rows(spark, sf))
+
+
+@query("SELECT DISTINCT 'old' AS pipeline_fingerprint FROM orders WHERE o_orderkey < 5")
+def foreign_fingerprints(spark, sf):
+    rows = _sequence_rows(spark, sf)
+    return manifest.other_fingerprints(rows.unionByName(rows.limit(1).withColumn("pipeline_fingerprint", F.lit("nan"))), "abc")
+
+
 @query("""
     SELECT '/root/' || l_orderkey || '/frame_1.png' AS first_path, (l_orderkey % 2)::FLOAT AS label FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber = 1) WHERE l_orderkey % 4 < 2
 """)

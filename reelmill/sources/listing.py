@@ -30,11 +30,14 @@ def discover_layout(spark: SparkSession, root: str, dataset_id: str, strict: boo
     return good.withColumn("path", F.concat(F.lit(root.rstrip("/") + "/"), F.col("path"))), bad
 
 
+def with_class(files: DataFrame, classes: DataFrame, relative: str = "relative") -> DataFrame:
+    """Files of the folders that classes (folder, label, class_name) name, with what it says of them; a row for each class."""
+    return files.withColumn("folder", F.element_at(F.split(relative, "/"), 1)).join(F.broadcast(classes), "folder")
+
+
 def class_files(spark: SparkSession, root: str, classes: list[tuple[str, int, str]], glob: str = "*.mp4") -> DataFrame:
     """Files of one folder for each class (folder, label, class name), sorted by path."""
-    found = list_files(spark, root, glob).withColumn("folder", F.element_at(F.split("relative", "/"), 1))
-    table = spark.createDataFrame(classes, "folder string, label int, class_name string")
-    return found.join(F.broadcast(table), "folder").orderBy("path")  # a row for each class
+    return with_class(list_files(spark, root, glob), spark.createDataFrame(classes, "folder string, label int, class_name string")).orderBy("path")
 
 
 def join_sizes(rows: DataFrame, files: DataFrame, path: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,12 +77,36 @@ def discover_manifest(spark: SparkSession, csv: str, dataset_id: str, root: str
     none = videos.select("dataset_id", "path", F.lit("").alias("error")).limit(0)
     if files is None:
         return videos, none
-    bad = videos.join(files.select("path"), "path", "left_anti").select("dataset_id", "path", F.lit("missing file").alias("error"))
+    good, bad = present(videos, files)
     if strict and (some := bad.limit(5).collect()):
         raise ValueError(f"{dataset_id}: missing files: {[r['path'] for r in some]}")
+    return good, bad
+
+
+def present(videos: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Videos whose file is listed, and the rejected rest (dataset_id, path, error)."""
+    bad = videos.join(files.select("path"), "path", "left_anti").select("dataset_id", "path", F.lit("missing file").alias("error"))
     return videos.join(files.select("path"), "path", "left_semi"), bad
 
 
+def selected(known: list[str], wanted: list[str] | None) -> list[str]:
+    """The ids of the wanted sources, in lower case and each once; all if none are named, an error if one is unknown."""
+    known = [k.lower() for k in known]
+    chosen = [w.lower() for w in wanted] if wanted else known
+    if unknown := sorted(set(chosen) - set(known)):
+        raise ValueError(f"unknown datasets: {unknown}")
+    return list(dict.fromkeys(chosen))
+
+
+def united(videos: list[DataFrame]) -> DataFrame:
+    """All sources' videos in one schema."""
+    out = None
+    for v in videos:
+        v = conformed(v if "split_locked" in v.columns else v.withColumn("split_locked", F.lit(False)), VIDEOS)
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
 ADAPTERS: dict[str, Callable[..., tuple[DataFrame, DataFrame]]] = {"layout": discover_layout, "manifest": discover_manifest}
 
 
@@ -91,16 +116,11 @@ def discover(spark: SparkSession, sources: list[dict], wanted: list[str] | None
     Ids are compared in lower case on both sides.
     """
     known = {s["id"].lower(): s for s in sources}
-    chosen = [w.lower() for w in wanted] if wanted else list(known)
-    if unknown := sorted(set(chosen) - known.keys()):
-        raise ValueError(f"unknown datasets: {unknown}")
-    videos = rejected = None
-    for name in dict.fromkeys(chosen):
+    found = []
+    for name in selected(list(known), wanted):
         how = {k: v for k, v in known[name].items() if k not in ("id", "adapter")}
-        good, bad = ADAPTERS[known[name]["adapter"]](spark, dataset_id=name, **how)
-        good = conformed(good if "split_locked" in good.columns else good.withColumn("split_locked", F.lit(False)), VIDEOS)
-        videos = good if videos is None else videos.unionByName(good)
-        rejected = bad if rejected is None else rejected.unionByName(bad)
+        found.append(ADAPTERS[known[name]["adapter"]](spark, dataset_id=name, **how))
+    videos, rejected = united([good for good, _ in found]), reduce(DataFrame.unionByName, [bad for _, bad in found])
     check_splits(videos)
     return videos.orderBy("dataset_id", "video_id"), rejected
 
