@@ -83,14 +83,22 @@ def looked_up(df: DataFrame, table: DataFrame, on: list[str] | str, name: str, h
     return df.join(small(stored(table, name), broadcast_bytes), on, how)
 
 
-def release(spark: SparkSession, but: int = 0) -> None:
-    """Deletes the tables that this process has written to the shared folder, but the last so many; results that still read them are lost."""
+def written() -> int:
+    """How many tables this process has in the shared folder."""
+    return len(_written)
+
+
+def release(spark: SparkSession, but: int = 0, since: int = 0) -> None:
+    """Deletes the tables that this process has written to the shared folder, but the first `since` and the last `but`.
+
+    Results that still read them are lost.
+    """
     jvm = spark.sparkContext._jvm
-    keep = _written[len(_written) - but :] if but else []
-    for path in _written[: len(_written) - len(keep)]:
+    gone = _written[since : len(_written) - but]
+    for path in gone:
         place = jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-    _written[:] = keep
+    _written[since : len(_written) - but] = []
 
 
 def bounded_batches(spark: SparkSession, max_bytes: int = 4 << 20) -> None:

@@ -145,10 +145,36 @@ def test_stored_tables_go_when_released(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(shared, "_written", [])
     monkeypatch.setattr(shared, "shared_dir", lambda _: f"file://{tmp_path}")
     assert shared.stored(spark.range(3).toDF("id"), "t").count() == 3 and os.listdir(tmp_path)
+    shared.stored(spark.range(2).toDF("id"), "u"), shared.stored(spark.range(1).toDF("id"), "v")
+    shared.release(spark, but=1, since=1)
+    assert sorted(x[0] for x in os.listdir(tmp_path)) == ["t", "v"] and shared.written() == 2
     shared.release(spark)
     assert os.listdir(tmp_path) == [] and list_files(spark, str(tmp_path)).count() == 0
 
 
+def test_tables_are_measured_in_bytes(spark):
+    rows = spark.createDataFrame([(1, "abc", [1, 2], (3, "x")), (None, None, None, None)], "a long, b string, c array<long>, d struct<e: long, f: string>")
+    assert 100 < shared.row_bytes(rows) < 300 and shared.row_bytes(rows.limit(0)) == 0
+    long_ = spark.range(10).select(F.array_repeat(F.lit(1), 10_000).alias("x"))
+    assert shared.row_bytes(long_) > 800_000
+    plan = lambda limit: rows.join(shared.small(rows.select("a"), limit), "a")._jdf.queryExecution().toString()
+    assert "ResolvedHint (strategy=broadcast)" in plan(10**6) or "broadcast" in plan(10**6).lower()
+    assert "broadcast" not in plan(0).split("== Physical")[0].lower()
+
+
+def test_no_local_folder_on_a_cluster(monkeypatch):
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    def session(master, **conf):
+        return type("S", (), {"conf": Conf(conf), "sparkContext": type("C", (), {"master": master})})
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared.shared_dir(session("spark://somewhere:7077"))
+    assert shared.shared_dir(session("spark://somewhere:7077", **{"spark.checkpoint.dir": "hdfs://x/y/"})) == "hdfs://x/y"
+
+
 def test_every_failed_video_is_listed(spark):
     frames = spark.range(2500).selectExpr("'d' AS dataset_id", "lpad(id, 5, '0') AS video_id", "IF(id % 2 = 0, 'broken', NULL) AS error")
     got = run.failures(frames)
