@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reelmill.llm import line_dedup, mixing, near_dedup, packing, quality
+from reelmill.llm import mixing, packing, quality
 from tests.llm.helpers import AWKWARD, corpus, table
+from tests.llm.test_dedup import line_rows, near_rows
 
 ROWS = corpus() + AWKWARD
 SF = "/root/testdata/sf0.001"
@@ -220,32 +221,78 @@ def test_evolution_finds_what_best_fit_misses():
 # -- pipeline -------------------------------------------------------------------------------------------------------
 
 
-def test_each_stage_against_its_operator(spark, tmp_path):
+def stages(spark, docs, folder, tmp_path):
+    """(name, rows before, rows after) of each stage, its output written and read again."""
     import corpus_pipeline
 
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    columns = docs.columns
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        out = stage(spark, docs, SF)
-        out.write.parquet(path := os.fspath(tmp_path / str(k)))
-        out, ids = spark.read.parquet(path), lambda df: sorted(r["doc_id"] for r in df.select("doc_id").collect())
+        stage(spark, docs, folder).write.parquet(path := os.fspath(tmp_path / f"stage{k}"))
+        out = spark.read.parquet(path)
         if k < 4:
-            assert out.columns == columns
-        if k == 0:
-            kept = quality.quality_scores(docs, labels).where("predicted = 1")
-            assert ids(out) == ids(kept) and 0 < out.count() < docs.count()
-        elif k == 1:
-            assert ids(out) == ids(line_dedup.line_dedup(docs).where("n_lines = 0 or n_removed < n_lines"))
-        elif k == 2:
-            assert ids(out) == ids(near_dedup.near_dedup(docs).where("kept"))
-        elif k == 3:
-            assert Counter(ids(out)) == Counter(r["doc_id"] for r in mixing.mix(docs).collect())
-        else:
-            assert {r["doc_id"] for r in out.collect()} == set(ids(docs))
+            assert out.columns == docs.columns
+        yield name, docs, out
         docs = out
 
 
+def hold_against_brute_force(spark, docs, folder, tmp_path):
+    """Each stage against loops over its own input that share no code with it; the classifier against its own scores."""
+    key = lambda r: (r["doc_id"] if r["doc_id"] is not None else -(2**63), r["text"] or "")
+    encoder = packing.Encoder("byte_bpe_50k.json")
+    for name, before, after in stages(spark, docs, folder, tmp_path):
+        old, new = ([r.asDict() for r in df.collect()] for df in (before, after))
+        if name == "quality classifier":
+            scores = quality.quality_scores(before, spark.read.parquet(f"{folder}/labels.parquet")).where("predicted = 1").select("doc_id").collect()
+            assert sorted(map(key, ({**r, "text": ""} for r in new))) == sorted(key({"doc_id": r[0], "text": ""}) for r in scores)
+            assert all(r in old for r in new)
+        elif name == "line dedup":
+            want = [(i, n, text, r) for (i, n, gone, text), r in zip(line_rows([(*key(r)[:1], r["text"]) for r in sorted(old, key=key)], 4, 40), sorted(old, key=key), strict=True) if gone < n or not n]
+            assert sorted((key(r)[0], r["text"] or "") for r in new) == sorted((i, text) for i, _, text, _ in want)
+            assert all(r["n_chars"] == len(r["text"] or "") for r in new if r not in old)
+        elif name == "MinHash near-dedup":
+            kept = near_rows([(key(r)[0], r["text"]) for r in old], 5, 80)
+            gone = {i for i, _, _, keep in kept if not keep}
+            assert sorted(map(key, new)) == sorted(key(r) for r in old if key(r)[0] not in gone or r["doc_id"] is None)
+        elif name.startswith("mixing"):
+            ids = [(i, max(1, len(r["text"] or "")), r["source"] or mixing.NO_SOURCE) for i, r in enumerate(sorted(old, key=key))]
+            placed = Counter(i for i, *_ in mixture_by_hand(ids, None, mixing.BLOCK_CHARS, mixing.ALPHA)) if ids else {}
+            by_row = Counter()
+            for i, r in enumerate(sorted(old, key=key)):
+                by_row[key(r)] += placed[i]
+            assert Counter(map(key, new)) == by_row
+        else:
+            tokens = Counter()
+            for r in old:
+                tokens[r["doc_id"]] += len(encoder.encode(r["text"] or "")) // 4 + 1
+            got = Counter()
+            for r in new:
+                got[r["doc_id"]] += r["length"]
+            used = Counter()
+            for r in new:
+                used[r["sequence_id"]] += r["length"]
+            assert got == tokens and max(used.values(), default=0) <= packing.CAPACITY
+
+
+def test_each_stage_on_the_smallest_tables(spark, tmp_path):
+    hold_against_brute_force(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF, tmp_path)
+
+
+def test_each_stage_on_awkward_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, and columns whose names the operators might use."""
+    rows = table(spark, ROWS + [(2001, "two words"), (2001, "two words")]).withColumns({"_score": F.lit(7.0), "_row": F.lit("r"), "_k": F.lit(1), "_d": F.col("_d")})
+    labels = spark.createDataFrame([(i, int(len(t or "") > 100)) for i, t in ROWS if i < 1000] + [(1001, None), (1002, 0)], "doc_id long, quality int")
+    rows.write.parquet(os.fspath(tmp_path / "documents.parquet"))
+    labels.write.parquet(os.fspath(tmp_path / "labels.parquet"))
+    hold_against_brute_force(spark, spark.read.parquet(os.fspath(tmp_path / "documents.parquet")), os.fspath(tmp_path), tmp_path)
+    assert spark.read.parquet(os.fspath(tmp_path / "stage0")).select("_score").distinct().collect()[0][0] == 7.0
+
+
+def test_stages_on_empty_tables(spark, tmp_path):
+    table(spark, ROWS).limit(0).write.parquet(os.fspath(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(os.fspath(tmp_path / "labels.parquet"))
+    for name, _, after in stages(spark, spark.read.parquet(os.fspath(tmp_path / "documents.parquet")), os.fspath(tmp_path), tmp_path):
+        assert after.count() == 0, name
+
+
 def test_run_gives_pieces(spark):
     import corpus_pipeline
 
