@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--detector", help="module:function that makes a detector (otherwise the one that the settings name)")
     out.add_argument("--dataset", action="append", help="only this source; may be repeated")
     out.add_argument("--max-videos", type=int)
+    out.add_argument("--workers", type=int, help="tasks that videos are dealt to")
     out.add_argument("--steps", type=int, default=1, help="parts that are saved one after the other")
     out.add_argument("--overwrite", action="store_true", help="clear the sequence folder and start anew")
     out.add_argument("--resume", action="store_true", help="leave out videos that have sequences (as without --no-resume)")
@@ -76,7 +77,7 @@ def main(args: list[str]) -> int:
             output.clear(spark, folder)
         os.makedirs(os.path.dirname(csv), exist_ok=True)
         write = lambda rows, frames: output.write_images(output.sequence_images(rows, frames, settings), pictures).collect()
-        how = {"wanted": options.dataset, "max_videos": options.max_videos, "resume": not options.no_resume, "pictures": write}
+        how = {"wanted": options.dataset, "max_videos": options.max_videos, "resume": not options.no_resume, "pictures": write, "workers": options.workers}
         manifest, told = run.preprocess_in_steps(spark, settings, named(options.decoder), detector, folder, options.steps, **how)
         output.write_csv(manifest.orderBy("split", "label", "dataset_id", "video_id", "start_time"), csv)
         videos, _ = discover(spark, list(settings.sources), options.dataset)

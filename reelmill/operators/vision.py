@@ -193,6 +193,48 @@ def encode_png(image: np.ndarray, level: int = 3) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(raw, level)) + chunk(b"IEND", b"")
 
 
+def decode_png(data: bytes) -> np.ndarray:
+    """The pixels of an 8-bit PNG, gray, RGB or either with alpha, without interlacing."""
+    if data[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("no PNG")
+    at, packed, head = 8, [], None
+    while at + 8 <= len(data):
+        size, kind = struct.unpack(">I4s", data[at : at + 8])
+        body = data[at + 8 : at + 8 + size]
+        if kind == b"IHDR":
+            head = struct.unpack(">IIBBBBB", body)
+        elif kind == b"IDAT":
+            packed.append(body)
+        at += size + 12
+    if head is None or head[2] != 8 or head[3] not in (0, 2, 4, 6) or head[6]:
+        raise ValueError(f"not supported: {head}")
+    w, h, channels = head[0], head[1], {0: 1, 2: 3, 4: 2, 6: 4}[head[3]]
+    rows = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8).reshape(h, 1 + w * channels)
+    out = np.zeros((h + 1, w + 1, channels), np.uint8)  # a row above and a pixel to the left, both zero
+    for y in range(h):
+        line, here, above = rows[y, 1:].reshape(w, channels), out[y + 1], out[y]
+        match rows[y, 0]:
+            case 0:
+                here[1:] = line
+            case 1:
+                here[1:] = np.cumsum(line, 0, dtype=np.uint8)
+            case 2:
+                here[1:] = line + above[1:]
+            case 3:
+                for x in range(w):
+                    here[x + 1] = (line[x].astype(int) + (here[x].astype(int) + above[x + 1]) // 2) & 255
+            case 4:
+                for x in range(w):
+                    left, up, corner = here[x].astype(int), above[x + 1].astype(int), above[x].astype(int)
+                    far = np.abs(np.stack([up - corner, left - corner, left + up - 2 * corner]))
+                    guess = np.where((far[0] <= far[1]) & (far[0] <= far[2]), left, np.where(far[1] <= far[2], up, corner))
+                    here[x + 1] = (line[x] + guess) & 255
+            case kind:
+                raise ValueError(f"filter {kind}")
+    image = out[1:, 1:]
+    return image[..., 0] if channels == 1 else image
+
+
 # -- one video ------------------------------------------------------------------------------------------------------
 
 Frame = tuple[np.ndarray, float, int]  # picture, container time, index
@@ -260,13 +302,13 @@ def detector_named(name: str):
 CHOSEN = "dataset_id string, video_id string, bin long, frame_index long, timestamp double, quality double, motion double, ssim double, score double, image binary"
 
 
-def chosen_frames(videos: DataFrame, decode: Callable[[str], tuple[float, Iterator[Frame]]], detector: Callable[[], Callable[[np.ndarray], list[Detection]]], settings: VideoSettings = VideoSettings()) -> DataFrame:
+def chosen_frames(videos: DataFrame, decode: Callable[[str], tuple[float, Iterator[Frame]]], detector: Callable[[], Callable[[np.ndarray], list[Detection]]], settings: VideoSettings = VideoSettings(), workers: int | None = None) -> DataFrame:
     """(dataset_id, video_id, error, ...): the best frame of each time bin of each video, one video at a time in each task.
 
     Frames are decoded, put at their times, sampled, cropped and scored as they come; only the best of the open bin
     and the last chosen picture are held. If a video's last bin has candidates but no frame that can be chosen, a row
     without a frame stands for it, so the bins after the last chosen one are known. A video that fails gives one row
-    with its error and nothing else. One detector is made for each task.
+    with its error and nothing else. One detector is made for each task; workers is the number of tasks.
     """
     bin_s, step = 1.0 / settings.model_fps, 1.0 / settings.candidate_fps
 
@@ -318,4 +360,5 @@ def chosen_frames(videos: DataFrame, decode: Callable[[str], tuple[float, Iterat
         finally:
             getattr(detect, "close", lambda: None)()
 
-    return videos.select("dataset_id", "video_id", "path").mapInPandas(run, CHOSEN + ", error string")
+    videos = videos.select("dataset_id", "video_id", "path")
+    return (videos.repartition(workers) if workers else videos).mapInPandas(run, CHOSEN + ", error string")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reelmill.operators.export import shard_table, write_archives
 from reelmill.operators.manifest import conformed, upsert
 from reelmill.operators.validate import require_valid
-from reelmill.operators.vision import resize
+from reelmill.operators.vision import decode_png, resize
 from reelmill.plans.config import RunConfig
 from reelmill.plans.run import VIDEO, gapless, write_json
 from reelmill.schemas import SPLIT_ROWS
@@ -147,7 +147,13 @@ def release_flaws(summary_path: str, expected_videos: int, pid: int | None = Non
     return flaws + ([f"{len(told['failed_videos'])} videos failed"] if told.get("failed_videos") else [])
 
 
-def normalised_pictures(load: Callable[[str], np.ndarray], size: int) -> Callable[[list[str]], np.ndarray]:
+def read_picture(path: str) -> np.ndarray:
+    """The pixels of a PNG file."""
+    with open(path, "rb") as f:
+        return decode_png(f.read())
+
+
+def normalised_pictures(size: int, load: Callable[[str], np.ndarray] = read_picture) -> Callable[[list[str]], np.ndarray]:
     """A loader for training_batches: each picture read, resized and as numbers from 0 to 255, which is what the network takes."""
     return lambda paths: np.stack([resize(np.asarray(load(p))[..., :3], size).astype(np.float32) for p in paths])
 

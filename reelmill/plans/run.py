@@ -81,7 +81,7 @@ def write_json(payload: dict, path: str) -> None:
 
 
 def preprocess(
-    spark: SparkSession, config: RunConfig, decode, detector, existing: DataFrame | None = None, wanted: list[str] | None = None, max_videos: int | None = None, validate_only: bool = False, resume: bool = True, only=None, pictures=None
+    spark: SparkSession, config: RunConfig, decode, detector, existing: DataFrame | None = None, wanted: list[str] | None = None, max_videos: int | None = None, validate_only: bool = False, resume: bool = True, only=None, pictures=None, workers: int | None = None
 ) -> tuple[DataFrame, dict]:
     """(manifest, summary). The fingerprint of an existing manifest is compared before anything is made.
 
@@ -92,6 +92,8 @@ def preprocess(
     config.check()
     if max_videos is not None and max_videos <= 0:
         raise ValueError("max_videos must be positive")
+    if workers is not None and workers <= 0:
+        raise ValueError("workers must be positive")
     print_ = config.fingerprint()
     if existing is not None and (others := [r[0] for r in other_fingerprints(existing, print_).limit(3).collect()]):
         raise ValueError(f"the manifest was made with other settings: {others}")
@@ -106,7 +108,7 @@ def preprocess(
         return conformed(videos, SEQUENCES), summary(videos, n + bad, bad, [], print_)
     todo = remaining(videos, existing.where(F.col("pipeline_fingerprint") == print_), ["dataset_id", "video_id"]) if existing is not None and resume else videos
     todo = only(todo) if only else todo
-    frames = stored(chosen_frames(todo, decode, detector, config.video_settings()), "frames")
+    frames = stored(chosen_frames(todo, decode, detector, config.video_settings(), workers), "frames")
     failed = failures(frames)
     if failed and config.fail_on_video_error:
         raise RuntimeError(f"{len(failed)} videos failed: {failed[:3]}")

@@ -111,8 +111,46 @@ def test_paired_manifest(spark):
         builders.paired_manifest(meta, splits, ("original",), files=spark.createDataFrame([("x",)], "path string"))
 
 
+def filtered(image, kinds):
+    """A PNG whose rows are filtered as named, by the words of its specification."""
+    import struct
+    import zlib
+
+    h, w, c = image.shape
+    rows = []
+    for y in range(h):
+        k, line = kinds[y % len(kinds)], []
+        for x in range(w):
+            for ch in range(c):
+                a = int(image[y, x - 1, ch]) if x else 0
+                b = int(image[y - 1, x, ch]) if y else 0
+                d = int(image[y - 1, x - 1, ch]) if x and y else 0
+                paeth = min((a, b, d), key=lambda v: (abs(a + b - d - v), (a, b, d).index(v)))
+                line.append((int(image[y, x, ch]) - (0, a, b, (a + b) // 2, paeth)[k]) % 256)
+        rows.append(bytes([k, *line]))
+    chunk = lambda n, d: struct.pack(">I", len(d)) + n + d + struct.pack(">I", zlib.crc32(n + d))
+    data = zlib.compress(b"".join(rows))
+    head = struct.pack(">IIBBBBB", w, h, 8, {1: 0, 2: 4, 3: 2, 4: 6}[c], 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", data[:20]) + chunk(b"IDAT", data[20:]) + chunk(b"IEND", b"")
+
+
+@pytest.mark.parametrize("channels", [1, 2, 3, 4])
+def test_pngs_are_read_whatever_their_filters(channels, tmp_path):
+    rng = np.random.default_rng(channels)
+    image = rng.integers(0, 256, (11, 7, channels), dtype=np.uint8)
+    image[4:8] //= 16
+    want = image[..., 0] if channels == 1 else image
+    assert (vision.decode_png(filtered(image, [0, 1, 2, 3, 4])) == want).all()
+    if channels in (1, 3):
+        (tmp_path / "a.png").write_bytes(vision.encode_png(want))
+        assert (output.read_picture(str(tmp_path / "a.png")) == want).all()
+    for bad in (b"", b"\x89PNG\r\n\x1a\n", b"JFIF"):
+        with pytest.raises(ValueError):
+            vision.decode_png(bad)
+
+
 def test_batches_of_pictures():
-    load = output.normalised_pictures(lambda p: np.full((6, 8, 4), int(p), np.uint8), 4)
+    load = output.normalised_pictures(4, lambda p: np.full((6, 8, 4), int(p), np.uint8))
     batch = load(["7", "9"])
     assert batch.shape == (2, 4, 4, 3) and batch.dtype == np.float32 and batch[1].min() == batch[1].max() == 9
 
