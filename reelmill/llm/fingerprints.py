@@ -41,7 +41,7 @@ RUN_ROWS, MAX_RUNS = 1000, 20_000
 _NO_ID = -(1 << 63)
 
 
-def _terms(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _terms(words: Words, k: int, short_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text (row), hash and weight of each distinct term; a text of fewer than k words is one term.
 
     A short text has few shingles, so its runs of three bytes vote too, the less the longer it is.
@@ -55,22 +55,22 @@ def _terms(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         row, value = np.append(row, short), np.append(value, words.windows(h, n, seed=n)[words.first[short]])
     keys, count = np.unique((row.astype(_U) << _U(48)) | (value >> _U(16)), return_counts=True)
     row, value, weight = [(keys >> _U(48)).astype(np.int64)], [keys & _U((1 << 48) - 1)], [1 + np.log2(count).astype(np.float32)]
-    for i in np.flatnonzero((size > 0) & (size < SHORT)):
+    for i in np.flatnonzero((size > 0) & (size < short_words)):
         data = words.data[words.at[i] : words.at[i + 1]].astype(_U)
         grams, count = np.unique(data[:-2] | data[1:-1] << _U(8) | data[2:] << _U(16), return_counts=True)
         row.append(np.full(len(grams), i))
         value.append(grams | _U(1 << 48))
-        weight.append((1 + np.log2(count).astype(np.float32)) * np.float32((1 - size[i] / SHORT) ** 2))
+        weight.append((1 + np.log2(count).astype(np.float32)) * np.float32((1 - size[i] / short_words) ** 2))
     row, value, weight = map(np.concatenate, (row, value, weight))
     order = np.argsort(row, kind="stable") if len(row) > len(keys) else slice(None)
     return row[order], value[order], weight[order]
 
 
-def simhash(column: pa.Array, k: int = SHINGLE) -> np.ndarray:
+def simhash(column: pa.Array, k: int = SHINGLE, short_words: int = SHORT) -> np.ndarray:
     """Two 64-bit halves for each text; a text without words has zeros."""
     out = np.zeros((len(column), BITS // 64), _U)
     for at, to in slices(column, 400_000, 4000):
-        row, value, weight = _terms(Words(column.slice(at, to - at)), k)
+        row, value, weight = _terms(Words(column.slice(at, to - at)), k, short_words)
         if not len(row):
             continue
         halves = np.stack([_mix(value * _U(2 * s + 1) + _U(s + 77)) for s in range(BITS // 64)], 1)
@@ -132,14 +132,14 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return dealt.repartition("_run").sortWithinPartitions("_run", "_tail", "_d", "_tie")
 
 
-def _prints(k: int):
+def _prints(k: int, short_words: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last row of the batch before, and its fingerprint: it waits for the next text
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 rows = list(zip(*(c.to_pylist() for c in columns(part, "_run", "_tail", "_d", "_text")), strict=True))
-                own = simhash(part.column(part.schema.get_field_index("_text")), k)
+                own = simhash(part.column(part.schema.get_field_index("_text")), k, short_words)
                 if held:
                     rows, own = [held[0], *rows], np.vstack([held[1], own])
                 held = rows[-1], own[-1:]
@@ -148,7 +148,7 @@ def _prints(k: int):
                     continue
                 texts = [rows[i][3] for i in of]
                 new = [edited(t, rows[i + 1][3]) for i, t in zip(of, texts, strict=True)]
-                changed = simhash(pa.array(new, pa.string()), k)
+                changed = simhash(pa.array(new, pa.string()), k, short_words)
                 halves = [pa.array(np.ascontiguousarray(x[:, h]).view(np.int64)) for x in (own[of], changed) for h in range(2)]
                 sha = [hashlib.sha256(x.encode()).digest() for x in new]
                 yield pa.RecordBatch.from_arrays(
@@ -226,12 +226,13 @@ def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, hel
     return reduce(DataFrame.unionByName, found).groupBy("_h0", "_h1").agg(F.sum("_near").alias("_near"))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, radius: int = RADIUS, query_every: int = 100) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, radius: int = RADIUS, query_every: int = 100, short_words: int = SHORT) -> DataFrame:
     """One row per row of docs: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, near_docs.
 
     The next document is that with the next id (then text hash); the last one's is the first. near_docs is, for ids
     that query_every divides, the number of other rows whose fingerprint is within the radius, and null for the rest.
-    Ids are whole numbers (others are cast to long).
+    Ids are whole numbers (others are cast to long). In texts under short_words words runs of three bytes vote as well,
+    the less the longer the text is.
     Null texts are empty, texts without words have a fingerprint of zeros, equal texts have equal ones; a null id
     comes first and stays null; a single row is its own next; an empty table gives no rows. Other columns of docs are
     ignored.
@@ -240,7 +241,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_d"), F.xxhash64(text).alias("_tie"), text.alias("_text"))
-    prints = stored(_pairs(rows).mapInArrow(_prints(k), f"_d long, {_FIELDS}"), "prints")
+    prints = stored(_pairs(rows).mapInArrow(_prints(k, short_words), f"_d long, {_FIELDS}"), "prints")
     asked = (F.col("_d") % query_every == 0) & (F.col("_d") != _NO_ID)
     near = small(stored(near_counts(prints, prints.where(asked), radius), "near"))
     hex_of = lambda a, b: F.lower(F.concat(F.lpad(F.hex(a), 16, "0"), F.lpad(F.hex(b), 16, "0")))

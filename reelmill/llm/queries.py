@@ -59,6 +59,16 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_documents(spark, sf_dir))
 
 
+def secret_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op9 what SQL can say as well."""
+    return secret_scan(_documents(spark, sf_dir), words=0).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def edited_text_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op6 what SQL can say as well."""
+    return fingerprints(_documents(spark, sf_dir)).select("doc_id", "n_chars", "edited_sha256")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
@@ -74,8 +84,12 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
+    "secret_base_spans": secret_base_spans,
+    "edited_text_digests": edited_text_digests,
 }
 
+_ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
 ORACLE_SQL = {
     "op1_substring_dedup": r"""
         WITH w AS (
@@ -137,6 +151,28 @@ ORACLE_SQL = {
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM c LEFT JOIN n USING (doc_id)
     """,
+    "secret_base_spans": rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        found AS (
+            SELECT doc_id, 0 AS ord, 'assign' AS kind, regexp_extract_all(t, '{_ASSIGN}') AS ms, regexp_split_to_array(t, '{_ASSIGN}') AS ps FROM d
+            UNION ALL SELECT doc_id, 1, 'access', regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_split_to_array(t, 'AKIA[A-Z0-9]+') FROM d
+            UNION ALL SELECT doc_id, 2, 'hex', regexp_extract_all(t, '[0-9a-f]{{24,}}'), regexp_split_to_array(t, '[0-9a-f]{{24,}}') FROM d
+        ), one AS (SELECT doc_id, ord, kind, ms, ps, unnest(range(1, len(ms) + 1)) AS k FROM found WHERE len(ms) > 0),
+        spans AS (
+            SELECT doc_id, ord, kind, ms[k] AS m, list_sum(list_transform(ps[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:k - 1], lambda x: length(x))), 0) AS start FROM one
+        ), kept AS (
+            SELECT * FROM spans WHERE CASE ord WHEN 0 THEN length(regexp_extract(m, '{_ASSIGN}', 2)) >= 6 WHEN 1 THEN length(m) >= 20 ELSE true END
+        ), g AS (
+            SELECT doc_id, count(*) FILTER (ord = 0) AS a, count(*) FILTER (ord = 1) AS c, count(*) FILTER (ord = 2) AS h,
+                string_agg(kind || ':' || start::BIGINT || ':' || (start + length(m))::BIGINT, ',' ORDER BY start, ord) AS j FROM kept GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex, sha256(coalesce(j, '')) AS base_sha256 FROM d LEFT JOIN g USING (doc_id)
+    """,
+    "edited_text_digests": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, lead(coalesce(text, '')) OVER (ORDER BY doc_id) AS n, first_value(coalesce(text, '')) OVER (ORDER BY doc_id) AS f FROM documents),
+        e AS (SELECT doc_id, t, coalesce(n, f) AS after, length(t) AS n, length(t) // 4 AS q FROM d)
+        SELECT doc_id, n AS n_chars, sha256(CASE WHEN q = 0 THEN t ELSE substr(t, 1, n - q) || substr(after, 1, q) END) AS edited_sha256 FROM e
+    """,
     "op10_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
