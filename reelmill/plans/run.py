@@ -61,8 +61,8 @@ def sequence_rows(windows: DataFrame, videos: DataFrame, config: RunConfig) -> D
     suffix = "jpg" if config.output_format.lower() in ("jpg", "jpeg") else "png"
     settings = {"seq_len": config.seq_len, "model_fps": float(config.model_fps), "image_size": config.image_size, "pipeline_fingerprint": config.fingerprint()}
     rows = windows.join(videos, VIDEO).withColumns({k: F.lit(v) for k, v in settings.items()})
-    parts = [*VIDEO, "start_frame", "end_frame", "seq_len", "model_fps", "image_size"]
-    rows = rows.withColumn("sequence_id", sequence_id(*map(F.col, parts), fixed9("start_time"), fixed9("end_time"), F.col("pipeline_fingerprint")))
+    parts = [*map(F.col, (*VIDEO, "start_frame", "end_frame", "seq_len")), F.lit(str(float(config.model_fps))), F.col("image_size")]
+    rows = rows.withColumn("sequence_id", sequence_id(*parts, fixed9("start_time"), fixed9("end_time"), F.col("pipeline_fingerprint")))
     names = F.transform(F.sequence(F.lit(0), F.lit(config.seq_len - 1)), lambda k: F.concat(F.col("sequence_id"), F.lit("/"), F.format_string(f"frame_%02d.{suffix}", k)))
     more = {"frame_paths": json_list(names), "candidate_fps": F.lit(config.candidate_fps), "image_format": F.lit(suffix), "missing_face_ratio": F.col("missing_ratio"), "pipeline_version": F.lit(VERSION)}
     return rows.withColumns(more)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from reelmill.functions import paths
 from reelmill.operators import export, graph, identity, manifest, sampling, selection, sequences, splits, summary, validate, vision
+from reelmill.plans import run
 from reelmill.schemas import SPLIT_ROWS
 from reelmill.sources import listing, lists, manifests
 
@@ -576,18 +577,49 @@ def window_accept(spark, sf):
     return _rounded(sequences.accepted(_windows(spark, sf), _LIMITS))
 
 
-@query(f"""WITH {_WINDOWS}, ed AS (SELECT bs.user_id, bs.bin, bs.t, bs.i FROM bs WHERE bs.q >= 0.03::DOUBLE),
+_ENDS = f"""{_WINDOWS}, ed AS (SELECT bs.user_id, bs.bin, bs.t, bs.i FROM bs WHERE bs.q >= 0.03::DOUBLE),
     fl AS (SELECT ft.user_id, ft.bin, ft.state, coalesce(t, ft.bin * 86400.0::DOUBLE) AS t, CASE WHEN ft.state = 'missing' THEN -1 ELSE last_value(i IGNORE NULLS) OVER w END AS i FROM ft LEFT JOIN ed USING (user_id, bin)
-        WINDOW w AS (PARTITION BY user_id ORDER BY ft.bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-    SELECT ac.user_id, start_bin, round(a.t, 6) AS start_time, round(z.t, 6) AS end_time, a.i AS start_frame, z.i AS end_frame
-    FROM ac JOIN fl a ON a.user_id = ac.user_id AND a.bin = start_bin JOIN fl z ON z.user_id = ac.user_id AND z.bin = start_bin + 5""")
-def window_ends(spark, sf):
+        WINDOW w AS (PARTITION BY user_id ORDER BY ft.bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    en AS (SELECT ac.*, a.t AS start_time, z.t AS end_time, a.i AS start_frame, z.i AS end_frame
+        FROM ac JOIN fl a ON a.user_id = ac.user_id AND a.bin = start_bin JOIN fl z ON z.user_id = ac.user_id AND z.bin = start_bin + 5)"""
+
+
+def _ends(spark, sf):
     best = _best(spark, sf).select("user_id", "bin", "q", "t", "i")
     whole = selection.repair_gaps(best.where("q >= 0.03"), "user_id", "bin", DAY, 1, ["i", "t"], "i", best.select("user_id", "bin"))
     ends = whole.select("user_id", "bin", "i", F.when(F.col("state") == "valid", F.col("t")).otherwise(F.col("bin_start")).alias("t"))
     bins = _bins(spark, sf).join(ends, ["user_id", "bin"])
     windows = sequences.sliding_windows(bins, ["user_id"], "bin", "state", "quality", "motion", "ssim", 6, 2, _LIMITS, {"t": "time", "i": "frame"})
-    return sequences.accepted(windows, _LIMITS).select("user_id", "start_bin", F.round("start_time", 6).alias("start_time"), F.round("end_time", 6).alias("end_time"), "start_frame", "end_frame")
+    return sequences.accepted(windows, _LIMITS)
+
+
+@query(f"WITH {_ENDS} SELECT user_id, start_bin, round(start_time, 6) AS start_time, round(end_time, 6) AS end_time, start_frame, end_frame FROM en")
+def window_ends(spark, sf):
+    return _ends(spark, sf).select("user_id", "start_bin", F.round("start_time", 6).alias("start_time"), F.round("end_time", 6).alias("end_time"), "start_frame", "end_frame")
+
+
+_RUN = run.RunConfig(({"id": "events", "adapter": "layout", "root": "events"},), "out", seq_len=6, window_hop=2, limits=_LIMITS)
+_SCORES = ("avg_quality", "avg_motion", "duplicate_ratio", "missing_face_ratio", "repair_ratio", "window_score")
+
+
+@query(rf"""WITH {_ENDS}, h AS (SELECT *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('events|' || user_id || '|' || start_frame || '|' || end_frame || '|6|7.5|300|' || printf('%.9f', start_time)
+        || '|' || printf('%.9f', end_time) || '|{_RUN.fingerprint()}')) AS h FROM en),
+    s AS (SELECT *, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', (('0x' || substr(h, 17, 1))::INT % 4) + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS sequence_id FROM h)
+    SELECT sequence_id, 'events' AS dataset_id, user_id::VARCHAR AS video_id, 'events:' || (user_id % 10) AS group_id, (user_id % 2)::INT AS label, CASE WHEN user_id % 2 = 0 THEN 'real' ELSE 'fake' END AS class_name, 'train' AS split,
+        '' AS compression, '' AS gen_method, '' AS resolution, '' AS media_type, '' AS background_type, '' AS video_name,
+        '["' || array_to_string(list_transform(range(6), lambda k: sequence_id || '/frame_0' || k || '.png'), '", "') || '"]' AS frame_paths, round(start_time, 6) AS start_time, round(end_time, 6) AS end_time,
+        start_frame::INT AS start_frame, end_frame::INT AS end_frame, 15.0::DOUBLE AS candidate_fps, 7.5::DOUBLE AS model_fps, 6 AS seq_len, 300 AS image_size, 'png' AS image_format, round(avg_quality, 9) AS avg_quality,
+        round(avg_motion, 9) AS avg_motion, round(duplicate_ratio, 9) AS duplicate_ratio, round(missing_ratio, 9) AS missing_face_ratio, round(repair_ratio, 9) AS repair_ratio, round(window_score, 9) AS window_score,
+        '{run.VERSION}' AS pipeline_version, '{_RUN.fingerprint()}' AS pipeline_fingerprint FROM s""")
+def sequence_manifest(spark, sf):
+    user = F.col("user_id")
+    windows = _ends(spark, sf).select(F.lit("events").alias("dataset_id"), user.cast("string").alias("video_id"), "*").drop("user_id")
+    videos = _table(spark, sf, "events").select("user_id").distinct().select(
+        F.lit("events").alias("dataset_id"), user.cast("string").alias("video_id"), F.concat(F.lit("events:"), (user % 10).cast("string")).alias("group_id"), (user % 2).cast("int").alias("label"),
+        F.when(user % 2 == 0, "real").otherwise("fake").alias("class_name"), F.lit("train").alias("split"),
+    )
+    rounded = {c: F.round(c, 9) for c in _SCORES} | {c: F.round(c, 6) for c in ("start_time", "end_time")}
+    return run.manifest_rows(windows, videos, _RUN).withColumns(rounded)
 
 
 @query("""
