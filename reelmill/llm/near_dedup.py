@@ -210,20 +210,15 @@ def _class_components(classes: DataFrame, rows: DataFrame, k: int, percent: int,
     return linking.components
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """One row per row of docs: id, n_shingles, component_id (the smallest id that links reach), kept (id is that one).
+def _rows(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_d"), F.xxhash64(text).alias("_t"), text.alias("_text"), *more)
 
-    Ids are whole numbers (others are cast to long). Texts are lower-cased (A-Z), words are runs without ASCII white
-    space, shingles are k words; a text with fewer words has its whole sequence as its one shingle. Texts are linked
-    if 100 * intersection >= percent * union. Null and empty texts have no shingles, are linked with nothing and are
-    kept; a null id is smaller than any other and stays null; rows that repeat id and text share one component, and
-    different texts under one id are texts of their own. An empty table gives no rows. Other columns of docs are
-    ignored.
-    """
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, broadcast_bytes: int) -> DataFrame:
+    """(_d, _t, _n, _c) of every row: its key, its shingles and the smallest id that links reach."""
     bounded_batches(docs.sparkSession)
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_d"), F.xxhash64(text).alias("_t"), text.alias("_text"))
-    kind = docs.schema[id_col].dataType
+    rows = _rows(docs, id_col, text_col)
     scanned = stored(_scan_signatures(rows, k), "signatures")
     same = ["_n", "_i1", "_i2"]
     classes = scanned.where("_n > 0").groupBy(*same).agg(F.min_by(F.struct("_d", "_t", "_sig"), F.struct("_d", "_t")).alias("_s"))
@@ -236,13 +231,27 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         of_class = stored(of_class.join(small(found, broadcast_bytes), "_k", "left").withColumn("_c", F.coalesce("_c", "_k")), "of_class")
         least = of_class.groupBy("_c").agg(F.min("_d").alias("_least"))
         of_class = looked_up(of_class, least, "_c", "least", broadcast_bytes=broadcast_bytes).select(*same, F.col("_least").alias("_c"))
-    out = looked_up(scanned.drop("_sig", "_t"), of_class, same, "class_ids", "left", broadcast_bytes).select("_d", "_n", F.coalesce("_c", "_d").alias("_c"))
+    return looked_up(scanned.drop("_sig"), of_class, same, "class_ids", "left", broadcast_bytes).select("_d", "_t", "_n", F.coalesce("_c", "_d").alias("_c"))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """One row per row of docs: id, n_shingles, component_id (the smallest id that links reach), kept (id is that one).
+
+    Ids are whole numbers (others are cast to long). Texts are lower-cased (A-Z), words are runs without ASCII white
+    space, shingles are k words; a text with fewer words has its whole sequence as its one shingle. Texts are linked
+    if 100 * intersection >= percent * union. Null and empty texts have no shingles, are linked with nothing and are
+    kept; a null id is smaller than any other and stays null; rows that repeat id and text share one component, and
+    different texts under one id are texts of their own. An empty table gives no rows. Other columns of docs are
+    ignored.
+    """
+    kind = docs.schema[id_col].dataType
+    out = _decided(docs, id_col, text_col, k, percent, broadcast_bytes)
     shown = lambda c: F.when(F.col(c) != _NO_ID, F.col(c)).cast(kind)
     return out.select(shown("_d").alias(id_col), F.col("_n").alias("n_shingles"), shown("_c").alias("component_id"), (F.col("_d") == F.col("_c")).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES, **how) -> DataFrame:
-    """The rows of docs that stay, whole: one of each group. Rows that repeat an id stay or go together; those with a null id stay."""
-    gone = near_dedup(docs, id_col, text_col, broadcast_bytes=broadcast_bytes, **how).where(~F.col("kept"))
-    gone = stored(gone.select(F.col(id_col).alias("_gone")).distinct(), "gone")
-    return docs.join(small(gone, broadcast_bytes), docs[id_col] == gone["_gone"], "left_anti")
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of docs that stay, whole: one of each group. Rows that repeat id and text stay or go together; other texts under one id are decided each for itself."""
+    gone = _decided(docs, id_col, text_col, k, percent, broadcast_bytes).where("_d <> _c").select("_d", "_t").distinct()
+    rows = _rows(docs, id_col, text_col, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")).drop("_text")
+    return rows.join(small(stored(gone, "gone"), broadcast_bytes), ["_d", "_t"], "left_anti").select("_row.*")

@@ -196,6 +196,8 @@ def test_near_dedup_of_texts_under_one_id(spark):
     rows = [(1, "a b c d e f g"), (5, "a b c d e f g"), (5, "other words than those above here"), (None, "other words than those above here")]
     got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_dedup(table(spark, rows)).collect()}
     assert got == {(1, 3, 1, True), (5, 3, 1, False), (5, 2, None, False), (None, 2, None, True)}
+    kept = near_dedup.deduplicated(table(spark, rows[:2] + [(5, "words of nobody else in here")])).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, rows[0][1]), (5, "words of nobody else in here")]
 
 
 def test_near_dedup_of_chains_and_stragglers(spark, monkeypatch):
