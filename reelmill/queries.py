@@ -84,7 +84,7 @@ def mixed_lock_check(spark, sf):
 
 _PATH = """CASE doc_id % 6
     WHEN 0 THEN 'raw/targets/540x960/' || source || '/Clip' || doc_id || '.mp4'
-    WHEN 1 THEN 'vcf/C23/DeepLiveCam/360x640/' || source || '/clip' || doc_id || '.mp4'
+    WHEN 1 THEN 'clips/C23/DeepLiveCam/360x640/' || source || '/clip' || doc_id || '.mp4'
     WHEN 2 THEN 'c40/simswap_224/1080x1920/MP4/' || source || '/clip.' || doc_id || '.avi'
     WHEN 3 THEN 'raw/unknown/1x1/' || source || '/' || doc_id || '.mp4'
     WHEN 4 THEN 'raw/targets/' || doc_id || '.mp4'
@@ -101,18 +101,18 @@ def _path():
         AND lower(parts[k + 1]) IN ('targets', 'deeplivecam', 'simswap_224', 'simswap_512', 'facefusion'))[1] AS start FROM s),
     t AS (SELECT path, parts[start:] AS tail FROM i WHERE start IS NOT NULL AND len(parts) - start + 1 IN (5, 6)),
     n AS (SELECT *, regexp_replace(tail[-1], '\.[^./]*$', '') AS stem FROM t)
-    SELECT path, 'vcf' AS dataset_id, path AS video_id, lower(tail[1]) AS compression, lower(tail[2]) AS gen_method, tail[3] AS resolution,
+    SELECT path, 'clips' AS dataset_id, path AS video_id, lower(tail[1]) AS compression, lower(tail[2]) AS gen_method, tail[3] AS resolution,
         CASE WHEN len(tail) = 6 THEN lower(tail[4]) ELSE '' END AS media_type, tail[-2] AS background_type, stem AS video_name,
-        lower('vcf:' || tail[-2] || '/' || stem) AS group_id, CASE WHEN lower(tail[2]) = 'targets' THEN 0 ELSE 1 END AS label,
+        lower('clips:' || tail[-2] || '/' || stem) AS group_id, CASE WHEN lower(tail[2]) = 'targets' THEN 0 ELSE 1 END AS label,
         CASE WHEN lower(tail[2]) = 'targets' THEN 'real' ELSE 'fake' END AS class_name FROM n
 """)
 def layout_parse(spark, sf):
-    return paths.parse_layout(_table(spark, sf, "documents").select(_path().alias("p")), "p", "vcf")[0]
+    return paths.parse_layout(_table(spark, sf, "documents").select(_path().alias("p")), "p", "clips")[0]
 
 
-@query(f"SELECT 'vcf' AS dataset_id, {_PATH} AS path, 'unknown layout' AS error FROM documents WHERE doc_id % 6 IN (3, 4)")
+@query(f"SELECT 'clips' AS dataset_id, {_PATH} AS path, 'unknown layout' AS error FROM documents WHERE doc_id % 6 IN (3, 4)")
 def layout_rejects(spark, sf):
-    return paths.parse_layout(_table(spark, sf, "documents").select(_path().alias("p")), "p", "vcf")[1]
+    return paths.parse_layout(_table(spark, sf, "documents").select(_path().alias("p")), "p", "clips")[1]
 
 
 def _raw_manifest(spark, sf):

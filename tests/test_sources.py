@@ -19,18 +19,18 @@ def touch(root, *names):
             f.write(b"x" * 7)
 
 
-PATHS = ["raw/targets/270x480/th/contains_target.mp4", "c40/simswap_224/1080x1920/th/contains_target.MP4", "vcf/c23/deeplivecam/360x640/th-bb/a.mp4", "raw/targets/540x960/mp4/th-ob/a.avi", "raw/unknown/1x1/th/a.mp4", "raw/targets/a.mp4", "raw/targets/1x1/th/notes.txt"]
+PATHS = ["raw/targets/270x480/th/contains_target.mp4", "c40/simswap_224/1080x1920/th/contains_target.MP4", "clips/c23/deeplivecam/360x640/th-bb/a.mp4", "raw/targets/540x960/mp4/th-ob/a.avi", "raw/unknown/1x1/th/a.mp4", "raw/targets/a.mp4", "raw/targets/1x1/th/notes.txt"]
 
 
 def test_layout_of_a_folder(spark, tmp_path):
     touch(tmp_path, *PATHS)
-    good, bad = listing.discover_layout(spark, str(tmp_path), "vcf")
+    good, bad = listing.discover_layout(spark, str(tmp_path), "clips")
     rows = {r["video_id"]: r for r in good.collect()}
     assert set(rows) == set(PATHS[:4]) and {r["path"] for r in bad.collect()} == set(PATHS[4:6])
-    assert rows[PATHS[0]]["group_id"] == rows[PATHS[1]]["group_id"] == "vcf:th/contains_target"
+    assert rows[PATHS[0]]["group_id"] == rows[PATHS[1]]["group_id"] == "clips:th/contains_target"
     assert [rows[p]["label"] for p in PATHS[:4]] == [0, 1, 1, 0] and rows[PATHS[3]]["media_type"] == "mp4" and rows[PATHS[2]]["compression"] == "c23"
     with pytest.raises(ValueError, match="unknown layout"):
-        listing.discover_layout(spark, str(tmp_path), "vcf", strict=True)
+        listing.discover_layout(spark, str(tmp_path), "clips", strict=True)
 
 
 def csv(tmp_path, text):
@@ -56,7 +56,7 @@ def test_sources_together(spark, tmp_path):
     touch(tmp_path, *PATHS[:4])
     sources = [{"id": "VCF", "adapter": "layout", "root": str(tmp_path)}, {"id": "own", "adapter": "manifest", "csv": csv(tmp_path, "path,label,group_id,split\nb.mp4,1,g,val\n")}]
     videos, _ = manifests.discover(spark, sources)
-    assert [r["dataset_id"] for r in videos.collect()] == ["own", "vcf", "vcf", "vcf", "vcf"]
+    assert [r["dataset_id"] for r in videos.collect()] == ["own", "clips", "clips", "clips", "clips"]
     assert manifests.discover(spark, sources, ["VCF"])[0].count() == 4
     with pytest.raises(ValueError, match="unknown datasets"):
         manifests.discover(spark, sources, ["other"])
@@ -66,7 +66,7 @@ def test_sources_together(spark, tmp_path):
 
 
 def test_balanced_split_of_twenty(spark):
-    rows = spark.createDataFrame([("vcf", f"g{k}") for k in range(20)], "d string, g string")
+    rows = spark.createDataFrame([("clips", f"g{k}") for k in range(20)], "d string, g string")
     n = {r["split"]: r["count"] for r in splits.balanced_hash_split(rows, "d", "g").groupBy("split").count().collect()}
     assert n == {"train": 14, "val": 3, "test": 3}
 
@@ -149,7 +149,7 @@ def test_upsert_and_conforming(spark):
 
 
 def test_rules_name_every_flaw(spark):
-    good = ("s", "vcf", "v", "vcf:g", 0, "train", '["s/frame_00.png"]', 1, "abc")
+    good = ("s", "clips", "v", "clips:g", 0, "train", '["s/frame_00.png"]', 1, "abc")
     names = "sequence_id string, dataset_id string, video_id string, group_id string, label int, split string, frame_paths string, seq_len int, pipeline_fingerprint string"
     files = spark.createDataFrame([("s/frame_00.png",)], "path string")
     assert validate.require_valid(spark.createDataFrame([good], names), files, False)["sequences"] == 1
@@ -200,10 +200,10 @@ def detector():
 
 def test_from_videos_to_a_manifest(spark, tmp_path):
     touch(tmp_path, "raw/targets/1x1/th/a.mp4", "raw/targets/1x1/th/b.mp4", "c23/deeplivecam/1x1/th/broken.mp4")
-    config = settings.RunConfig(({"id": "vcf", "adapter": "layout", "root": str(tmp_path)},), str(tmp_path / "out"), seq_len=8, window_hop=4, image_size=16, max_sequences_per_video=3)
+    config = settings.RunConfig(({"id": "clips", "adapter": "layout", "root": str(tmp_path)},), str(tmp_path / "out"), seq_len=8, window_hop=4, image_size=16, max_sequences_per_video=3)
     made, told = runs.preprocess(spark, config, decode, detector)
     rows = made.collect()
-    assert told["failed_videos"] == [{"dataset_id": "vcf", "video_id": "c23/deeplivecam/1x1/th/broken.mp4", "error": "OSError: cannot open"}]
+    assert told["failed_videos"] == [{"dataset_id": "clips", "video_id": "c23/deeplivecam/1x1/th/broken.mp4", "error": "OSError: cannot open"}]
     assert {r["video_id"] for r in rows} == {"raw/targets/1x1/th/a.mp4", "raw/targets/1x1/th/b.mp4"} and len(rows) == 6
     assert all(len(json.loads(r["frame_paths"])) == 8 and r["pipeline_fingerprint"] == config.fingerprint() for r in rows)
     again, _ = runs.preprocess(spark, config, lambda p: 1 / 0, detector, existing=made.where("video_id like '%a.mp4'"))
@@ -262,7 +262,7 @@ def test_steps_and_the_command_line(spark, tmp_path, capsys):
     from reelmill.__main__ import main
 
     touch(tmp_path, "in/raw/targets/1x1/th/a.mp4", "in/raw/targets/1x1/th/b.mp4", "in/raw/targets/1x1/th/broken.mp4")
-    (tmp_path / "c.yaml").write_text("sources: [{id: vcf, adapter: layout, root: in}]\noutput_dir: out\nseq_len: 8\nwindow_hop: 4\nimage_size: 16\nmax_sequences_per_video: 2\n")
+    (tmp_path / "c.yaml").write_text("sources: [{id: clips, adapter: layout, root: in}]\noutput_dir: out\nseq_len: 8\nwindow_hop: 4\nimage_size: 16\nmax_sequences_per_video: 2\n")
     os.makedirs(tmp_path / "out")
     common = [str(tmp_path / "c.yaml"), "--decoder", "tests.test_sources:decode", "--detector", "tests.test_sources:detector"]
     assert main(["run", *common, "--steps", "2"]) == 0
@@ -283,7 +283,7 @@ def test_steps_and_the_command_line(spark, tmp_path, capsys):
         with pytest.raises(SystemExit):
             main(["run", *common, *wrong])
     with pytest.raises(SystemExit):
-        main(["run", *common, "--overwrite", "--dataset", "vcf"])
+        main(["run", *common, "--overwrite", "--dataset", "clips"])
 
 
 def test_png_and_resize():
