@@ -143,9 +143,9 @@ def _contexts(first: np.ndarray, ids: np.ndarray, places: np.ndarray) -> np.ndar
 
 
 def _hidden(p: Parameters, context: np.ndarray) -> np.ndarray:
-    total = p["embed"][0][context[:, 0]]
+    total = p["embed"][0].take(context[:, 0], 0)
     for k in range(1, 2 * REACH):
-        total += p["embed"][k][context[:, k]]
+        total += p["embed"][k].take(context[:, k], 0)
     return np.tanh(total + p["bias"])
 
 
@@ -159,17 +159,29 @@ def _log_at(z: np.ndarray, target: np.ndarray) -> np.ndarray:
     return z[np.arange(len(z)), target] - top - np.log(np.exp(z - top[:, None]).sum(1))
 
 
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order in which the places of one class stand together, and where those of each class are then."""
+    of = (target // IN_CLASS).astype(np.int16)  # small numbers are sorted by their digits
+    order = np.argsort(of, kind="stable")
+    cuts = np.searchsorted(of[order], np.arange(CLASSES + 1))
+    return order, [(int(c), slice(cuts[c], cuts[c + 1])) for c in np.flatnonzero(np.diff(cuts))]
+
+
+def _inside(p: Parameters, hidden: np.ndarray, of: np.ndarray, classes: list[tuple[int, slice]]) -> np.ndarray:
+    """What the second softmax takes, for places that stand class by class."""
+    out = p["word_bias"].take(of, 0)
+    for c, at in classes:
+        out[at] += hidden[at] @ p["word"][c]
+    return out
+
+
 def log_probabilities(p: Parameters, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log P(word | both sides) for each place."""
-    hidden = _hidden(p, context)
+    order, classes = _by_class(target)
+    hidden, target = _hidden(p, context.take(order, 0)), target.take(order)
     of, inside = target // IN_CLASS, target % IN_CLASS
-    out = _log_at(hidden @ p["cls"] + p["cls_bias"], of)
-    order = np.argsort(of, kind="stable")
-    cuts = np.searchsorted(of[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        at = order[cuts[c] : cuts[c + 1]]
-        if len(at):
-            out[at] += _log_at(hidden[at] @ p["word"][c] + p["word_bias"][c], inside[at])
+    out = np.empty(len(order), np.float32)
+    out[order] = _log_at(hidden @ p["cls"] + p["cls_bias"], of) + _log_at(_inside(p, hidden, of, classes), inside)
     return out
 
 
@@ -181,41 +193,36 @@ class Learner:
         self.sums = {k: np.full_like(v, 1e-3) for k, v in p.items()}
         self.places = 0
 
-    def _step(self, k: str, grad: np.ndarray, at=...) -> None:
-        self.sums[k][at] += grad * grad
-        self.p[k][at] -= RATE * grad / np.sqrt(self.sums[k][at])
-
     def learn(self, context: np.ndarray, target: np.ndarray) -> None:
         p, n = self.p, len(target)
-        hidden = _hidden(p, context)
+        order, classes = _by_class(target)
+        context, target = context.take(order, 0), target.take(order)
         of, inside = target // IN_CLASS, target % IN_CLASS
+        hidden = _hidden(p, context)
         off = _softmax(hidden @ p["cls"] + p["cls_bias"])
         off[np.arange(n), of] -= 1
         back = off @ p["cls"].T
-        steps = [("cls", hidden.T @ off / n, ...), ("cls_bias", off.mean(0), ...)]
-        # All classes at once: the places of each are the rows of one layer, filled up with zeros.
-        order = np.argsort(of, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.arange(n) - np.searchsorted(of[order], np.arange(CLASSES))[of[order]]
-        layers = np.zeros((CLASSES, rank.max(initial=0) + 1, HIDDEN), np.float32)
-        layers[of, rank] = hidden
-        z = (layers @ p["word"] + p["word_bias"][:, None])[of, rank]
-        z = _softmax(z)
-        z[np.arange(n), inside] -= 1
-        off = np.zeros((*layers.shape[:2], IN_CLASS), np.float32)
-        off[of, rank] = z
-        back += (off @ p["word"].transpose(0, 2, 1))[of, rank]
-        steps += [("word", layers.transpose(0, 2, 1) @ off / n, ...), ("word_bias", off.sum(1) / n, ...)]
-        back *= (1 - hidden * hidden) / n
-        steps.append(("bias", back.sum(0), ...))
-        # The tables of all places on either side are one, row after row.
-        row = (context + np.arange(2 * REACH) * (VOCABULARY + 1)).ravel()
-        order = np.argsort(row, kind="stable")
-        row = row[order]
-        first = np.flatnonzero(np.diff(row, prepend=-1))
-        steps.append(("embed", np.add.reduceat(back[order // (2 * REACH)], first), np.divmod(row[first], VOCABULARY + 1)))
-        for k, grad, at in steps:
-            self._step(k, grad, at)
+        steps = {"cls": hidden.T @ off / n, "cls_bias": off.mean(0)}
+        off = _softmax(_inside(p, hidden, of, classes))
+        off[np.arange(n), inside] -= 1
+        off /= n
+        back /= n
+        word, word_bias = np.zeros_like(p["word"]), np.zeros_like(p["word_bias"])
+        for c, at in classes:
+            word[c] = hidden[at].T @ off[at]
+            back[at] += off[at] @ p["word"][c].T
+        word_bias[[c for c, _ in classes]] = np.add.reduceat(off, [at.start for _, at in classes])
+        back *= 1 - hidden * hidden
+        steps |= {"word": word, "word_bias": word_bias, "bias": back.sum(0)}
+        # The tables of all places on either side are one, row after row; a place adds its gradient to one row of each.
+        row = context + np.arange(2 * REACH) * (VOCABULARY + 1)
+        number = (row[:, :, None] * HIDDEN + np.arange(HIDDEN)).ravel()
+        shape = p["embed"].shape
+        each = np.broadcast_to(back[:, None], (n, 2 * REACH, HIDDEN)).ravel()
+        steps["embed"] = np.bincount(number, each, p["embed"].size).astype(np.float32).reshape(shape)
+        for k, grad in steps.items():
+            self.sums[k] += grad * grad
+            p[k] -= RATE * grad / np.sqrt(self.sums[k])
         self.places += n
 
 
