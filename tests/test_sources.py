@@ -54,10 +54,10 @@ def test_manifest_rows(spark, tmp_path):
 
 def test_sources_together(spark, tmp_path):
     touch(tmp_path, *PATHS[:4])
-    sources = [{"id": "VCF", "adapter": "layout", "root": str(tmp_path)}, {"id": "own", "adapter": "manifest", "csv": csv(tmp_path, "path,label,group_id,split\nb.mp4,1,g,val\n")}]
+    sources = [{"id": "ZClips", "adapter": "layout", "root": str(tmp_path)}, {"id": "own", "adapter": "manifest", "csv": csv(tmp_path, "path,label,group_id,split\nb.mp4,1,g,val\n")}]
     videos, _ = manifests.discover(spark, sources)
-    assert [r["dataset_id"] for r in videos.collect()] == ["own", "clips", "clips", "clips", "clips"]
-    assert manifests.discover(spark, sources, ["VCF"])[0].count() == 4
+    assert [r["dataset_id"] for r in videos.collect()] == ["own", "zclips", "zclips", "zclips", "zclips"]
+    assert manifests.discover(spark, sources, ["ZClips"])[0].count() == 4
     with pytest.raises(ValueError, match="unknown datasets"):
         manifests.discover(spark, sources, ["other"])
     sources[1]["csv"] = csv(tmp_path, "path,label,group_id,split\nb.mp4,1,g,val\nc.mp4,1,h,\n")
