@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmill.shared import looked_up, stored
+from reelmill.shared import looked_up, small, stored
 
 #: Beyond so many edges joins with a node's least neighbour are made splittable.
 LARGE_EDGES = 1_000_000
@@ -86,18 +86,36 @@ def identity_edges(rows: DataFrame, tokens: str, label: str, split: str | None =
     return nodes, edges
 
 
-def named_components(nodes: DataFrame, edges: DataFrame, prefix: str = "identity-component/") -> DataFrame:
-    """(node, component, name): a component is named by its sorted members; a node without edges is one by itself."""
+def component_tables(nodes: DataFrame, edges: DataFrame, prefix: str = "identity-component/") -> tuple[DataFrame, DataFrame]:
+    """(node, component) of every node and (component, name): a component is named by its sorted members; a node without edges is one by itself."""
     found = nodes.join(connected_components(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
     found = stored(found, "components")
     names = found.groupBy("component").agg(F.concat(F.lit(prefix), F.array_join(F.array_sort(F.collect_set(F.col("node").cast("string"))), "-")).alias("name"))
+    return found.select("node", "component"), names
+
+
+def named_components(nodes: DataFrame, edges: DataFrame, prefix: str = "identity-component/") -> DataFrame:
+    """(node, component, name): both tables of component_tables in one, so its bytes grow with the square of a component's size."""
+    found, names = component_tables(nodes, edges, prefix)
     return found.join(names, "component").select("node", "component", "name")
 
 
-def group_ids(rows: DataFrame, components: DataFrame, tokens: str, path: str, split: str) -> DataFrame:
-    """Adds group_id: official-test/<path> for test rows, the component of the first token, else the path; paths lower-case, without suffix."""
+def group_ids(
+    rows: DataFrame, components: DataFrame, tokens: str, path: str, split: str, names: DataFrame | None = None, form: Callable[[Column], Column] = lambda c: c
+) -> DataFrame:
+    """Adds group_id: official-test/<path> for test rows, the component of the first token, else the path; paths lower-case, without suffix.
+
+    Large components come as the two tables of component_tables, so a name meets its rows last and is never moved or
+    kept once for each node. form: what is made of a group's id, such as a digest; of a component's name once.
+    """
     stem = F.lower(F.regexp_replace(path, r"\.[^./]*$", ""))
     # get() is null beyond the end, so a row without tokens finds no component
-    joined = rows.withColumn("_first", F.get(tokens, 0)).join(components.select(F.col("node").alias("_first"), "name"), "_first", "left")
-    group = F.when(F.col(split) == "test", F.concat(F.lit("official-test/"), stem)).otherwise(F.coalesce("name", stem))
-    return joined.withColumn("group_id", group).drop("_first", "name")
+    rows, first = rows.withColumn("_first", F.get(tokens, 0)), F.col("node").alias("_first")
+    if names is None:
+        # with a name on every node this side is far larger than it is estimated, so it must not be broadcast
+        joined = rows.join(components.select(first, form(F.col("name")).alias("_name")).hint("merge"), "_first", "left")
+    else:
+        found = rows.join(small(components.select(first, F.col("component").alias("_component"))), "_first", "left")
+        joined = looked_up(found, names.select(F.col("component").alias("_component"), form(F.col("name")).alias("_name")), "_component", "names", "left").drop("_component")
+    group = F.when(F.col(split) == "test", form(F.concat(F.lit("official-test/"), stem))).otherwise(F.coalesce("_name", form(stem)))
+    return joined.withColumn("group_id", group).drop("_first", "_name")

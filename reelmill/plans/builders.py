@@ -29,7 +29,8 @@ def identity_manifest(files: DataFrame, test: DataFrame, ratio: float = 0.15, se
     rows = mark_test(files, test).withColumns({"split": F.when(F.col("is_test"), "test").otherwise(""), "tokens": tokens(F.col("path")), "video_name": stem(F.col("path"))})
     rows = stored(rows, "files")
     nodes, edges = graph.identity_edges(rows, "tokens", "label", "split")
-    rows = stored(graph.group_ids(rows, graph.named_components(nodes, edges), "tokens", "path", "split"), "grouped")
+    members, names = graph.component_tables(nodes, edges)
+    rows = stored(graph.group_ids(rows, members, "tokens", "path", "split", names), "grouped")
     free = rows.where("split = ''").groupBy("group_id").agg(F.sum((F.col("label") == 1).cast("long")).alias("fake"), F.sum((F.col("label") == 0).cast("long")).alias("real"))
     made = export.train_val_assign(free, "fake", "real", "group_id", ratio, seed).select("group_id", F.col("split").alias("_made"))
     rows = rows.join(made, "group_id", "left").withColumn("split", F.when(F.col("split") == "test", "test").otherwise(F.col("_made")))

@@ -755,17 +755,17 @@ _REACH = """c AS (SELECT doc_id AS node, min(doc_id) OVER (PARTITION BY n_chars)
     n AS (SELECT component, 'identity-component/' || string_agg(node::VARCHAR, '-' ORDER BY node::VARCHAR) AS name FROM c GROUP BY component)"""
 
 
-def _components(spark, sf):
+def _nodes_and_edges(spark, sf):
     from pyspark.sql import Window
 
     docs = _table(spark, sf, "documents")
     before = F.lag("doc_id").over(Window.partitionBy("n_chars").orderBy("doc_id"))
-    return graph.named_components(docs.select(F.col("doc_id").alias("node")), docs.select(F.col("doc_id").alias("a"), before.alias("b")))
+    return docs.select(F.col("doc_id").alias("node")), docs.select(F.col("doc_id").alias("a"), before.alias("b"))
 
 
 @query(f"WITH {_REACH} SELECT node, component, sha256(name) AS name FROM c JOIN n USING (component)")
 def components(spark, sf):
-    return _components(spark, sf).withColumn("name", F.sha2("name", 256))
+    return graph.named_components(*_nodes_and_edges(spark, sf)).withColumn("name", F.sha2("name", 256))
 
 
 @query(rf"""WITH {_REACH}, r AS (SELECT doc_id, 'Set/A' || doc_id || '.MP4' AS path, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id END AS first, CASE WHEN doc_id % 10 = 0 THEN 'test' ELSE 'train' END AS split FROM documents)
@@ -776,7 +776,8 @@ def component_groups(spark, sf):
         "doc_id", F.expr("concat('Set/A', doc_id, '.MP4')").alias("path"), F.expr("CASE WHEN doc_id % 3 = 0 THEN array() ELSE array(doc_id) END").alias("tokens"),
         F.expr("CASE WHEN doc_id % 10 = 0 THEN 'test' ELSE 'train' END").alias("split"),
     )
-    return graph.group_ids(rows, _components(spark, sf), "tokens", "path", "split").select("doc_id", F.sha2("group_id", 256).alias("group_id"))
+    members, names = graph.component_tables(*_nodes_and_edges(spark, sf))
+    return graph.group_ids(rows, members, "tokens", "path", "split", names, lambda c: F.sha2(c, 256)).select("doc_id", "group_id")
 
 
 @query("""
